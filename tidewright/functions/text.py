@@ -41,12 +41,16 @@ def strip_whitespace(col: Column) -> Column:
     return F.regexp_replace(col, r"^\s+|\s+$", "")
 
 
-def first_keyword(text: Column, rules: Sequence[tuple[str, str]], default: str) -> Column:
-    """Value of the first rule whose keyword occurs anywhere in the text, ignoring case."""
-    lowered = F.lower(text)
+def first_keyword(text: Column, rules: Sequence[tuple[str, str]], default: str, lowered: bool = False) -> Column:
+    """Value of the first rule whose keyword occurs anywhere in the text, ignoring case.
+
+    Several chains over one text should share one lower-cased column and pass
+    ``lowered=True``: inside a ``CASE`` each branch would lower it again.
+    """
+    low = text if lowered else F.lower(text)
     chain = None
     for keyword, value in rules:
-        hit = lowered.contains(keyword.lower())
+        hit = low.contains(keyword.lower())
         chain = F.when(hit, value) if chain is None else chain.when(hit, value)
     return F.lit(default) if chain is None else chain.otherwise(default)
 

@@ -44,76 +44,89 @@ TEXT_LIMITS = {
 LIST_LIMITS = {"contributing_factors": 5, "recommendations": 5, "similar_incidents": 5}
 
 
-def _result(event_type: Column, severity: Column, confidence: float, reasoning: Column) -> Column:
+LOW, LOW_ALL = "_low", "_low_all"
+
+
+def with_lowered(events: DataFrame) -> DataFrame:
+    """Lower-cased payload, and payload with service and source, each computed once per row."""
+    everything = F.concat_ws(" ", "raw_payload", "service", "source")
+    return events.withColumns({LOW: F.lower("raw_payload"), LOW_ALL: F.lower(everything)})
+
+
+def _result(event_type: Column, severity: Column, confidence: float, reasoning: str) -> Column:
     return F.struct(
         event_type.alias("event_type"), severity.alias("severity"),
-        F.lit(confidence).alias("confidence"), reasoning.alias("reasoning"),
+        F.lit(confidence).alias("confidence"), F.lit(reasoning).alias("reasoning"),
     )
 
 
 def heuristic_result() -> Column:
-    """By keywords over payload, service and source."""
-    text = F.concat_ws(" ", "raw_payload", "service", "source")
+    """By keywords over payload, service and source (needs ``with_lowered``)."""
     return _result(
-        first_keyword(text, HEURISTIC_TYPE, "log"), first_keyword(text, HEURISTIC_SEVERITY, "low"),
-        HEURISTIC_CONFIDENCE, F.lit("Heuristic keyword match"),
+        first_keyword(F.col(LOW_ALL), HEURISTIC_TYPE, "log", lowered=True),
+        first_keyword(F.col(LOW_ALL), HEURISTIC_SEVERITY, "low", lowered=True),
+        HEURISTIC_CONFIDENCE, "Heuristic keyword match",
     )
 
 
 def offline_result() -> Column:
-    """What the offline model answers: other lists, payload only."""
-    text = F.col("raw_payload")
+    """What the offline model answers: other lists, payload only (needs ``with_lowered``)."""
     return _result(
-        first_keyword(text, OFFLINE_TYPE, "log"), first_keyword(text, OFFLINE_SEVERITY, "low"),
-        OFFLINE_CONFIDENCE, F.lit("Heuristic classification based on keyword matching"),
+        first_keyword(F.col(LOW), OFFLINE_TYPE, "log", lowered=True),
+        first_keyword(F.col(LOW), OFFLINE_SEVERITY, "low", lowered=True),
+        OFFLINE_CONFIDENCE, "Heuristic classification based on keyword matching",
     )
 
 
-def within_limits(result: Column, fields: dict[str, str]) -> Column:
-    """True when no text or list of a scored struct is too long; ``fields`` maps name to Spark type."""
-    checks = [F.coalesce(F.length(result[f]) <= n, F.lit(True)) for f, n in TEXT_LIMITS.items() if f in fields]
-    checks += [F.coalesce(F.size(result[f]) <= n, F.lit(True)) for f, n in LIST_LIMITS.items() if f in fields]
+def within_limits(fields: dict[str, Column]) -> Column:
+    """True when no scored text or list is too long; keys are the field names of the limits."""
     ok = F.lit(True)
-    for c in checks:
-        ok = ok & c
+    for name, value in fields.items():
+        if name in TEXT_LIMITS:
+            ok = ok & F.coalesce(F.length(value) <= TEXT_LIMITS[name], F.lit(True))
+        else:
+            ok = ok & F.coalesce(F.size(value) <= LIST_LIMITS[name], F.lit(True))
     return ok
 
 
-def accepted(result: Column) -> Column:
-    """A classification answer, or null when it breaks its schema."""
-    ok = (
-        within_limits(result, {"reasoning": "string"})
-        & result["event_type"].isin(*EVENT_TYPES)
-        & result["severity"].isin(*SEVERITIES)
-        & result["confidence"].between(0.0, 1.0)
-    )
-    return F.when(ok, result)
+def _valid(ok_text: Column, kind: Column, severity: Column, confidence: Column) -> Column:
+    ok = ok_text & kind.isin(*EVENT_TYPES) & severity.isin(*SEVERITIES) & confidence.between(0.0, 1.0)
+    return F.coalesce(ok, F.lit(False))
 
 
-def coherent(result: Column) -> Column:
-    """Consistency rules, in order: reason text, log with high severity, unknown with high confidence."""
-    reason = strip_whitespace(F.coalesce(result["reasoning"], F.lit("")))
-    reason = F.when(reason == "", NO_REASON).otherwise(reason)
-    loud_log = (result["event_type"] == "log") & result["severity"].isin("critical", "high")
-    confidence = F.when(loud_log, F.least(result["confidence"], F.lit(0.4))).otherwise(result["confidence"])
-    confidence = F.when((result["event_type"] == "unknown") & (confidence > 0.5), 0.3).otherwise(confidence)
-    return F.struct(
-        result["event_type"].alias("event_type"), result["severity"].alias("severity"),
-        confidence.alias("confidence"), F.when(loud_log, F.concat(reason, F.lit(ADJUSTED))).otherwise(reason).alias("reasoning"),
-    )
+def cohere(df: DataFrame, kind: str, severity: str, confidence: str, reason: str) -> DataFrame:
+    """Consistency rules in place, in order: reason text, log with high severity, unknown with high confidence."""
+    loud_log = (F.col(kind) == "log") & F.col(severity).isin("critical", "high")
+    base = df.withColumns({
+        "_loud": loud_log, reason: strip_whitespace(F.coalesce(F.col(reason), F.lit(""))),
+        confidence: F.when(loud_log, F.least(F.col(confidence), F.lit(0.4))).otherwise(F.col(confidence)),
+    })
+    text = F.when(F.col(reason) == "", NO_REASON).otherwise(F.col(reason))
+    return base.withColumns({
+        confidence: F.when((F.col(kind) == "unknown") & (F.col(confidence) > 0.5), 0.3).otherwise(F.col(confidence)),
+        reason: F.concat(text, F.when(F.col("_loud"), ADJUSTED).otherwise("")),
+    }).drop("_loud")
 
 
 def classify(events: DataFrame, model: Column | None = None) -> DataFrame:
-    """Add type, severity, confidence, method and reason; ``model`` is a struct column, null where it failed."""
-    answer = accepted(offline_result() if model is None else model)
-    return (
-        events.withColumn("_answer", answer)
-        .withColumn("_class", coherent(F.coalesce(F.col("_answer"), heuristic_result())))
-        .withColumns({
-            "event_type": F.col("_class.event_type"), "severity": F.col("_class.severity"),
-            "classification_confidence": F.col("_class.confidence"),
-            "classification_method": F.when(F.col("_answer").isNull(), "heuristic").otherwise("llm"),
-            "reasoning": F.col("_class.reasoning"),
-        })
-        .drop("_answer", "_class")
+    """Add type, severity, confidence, method and reason; ``model`` is a struct column, null where it failed.
+
+    Works on flat columns stage by stage, so each keyword chain is evaluated
+    once per row, and the fallback chains only where the model failed.
+    """
+    answer = offline_result() if model is None else model
+    flat = with_lowered(events).withColumns({
+        "_t": answer["event_type"], "_s": answer["severity"], "_c": answer["confidence"], "_r": answer["reasoning"],
+    })
+    judged = flat.withColumn(
+        "_ok", _valid(within_limits({"reasoning": F.col("_r")}), F.col("_t"), F.col("_s"), F.col("_c"))
     )
+    backup = heuristic_result()
+    merged = judged.withColumns({
+        "event_type": F.when(F.col("_ok"), F.col("_t")).otherwise(backup["event_type"]),
+        "severity": F.when(F.col("_ok"), F.col("_s")).otherwise(backup["severity"]),
+        "classification_confidence": F.when(F.col("_ok"), F.col("_c")).otherwise(backup["confidence"]),
+        "classification_method": F.when(F.col("_ok"), "llm").otherwise("heuristic"),
+        "reasoning": F.when(F.col("_ok"), F.col("_r")).otherwise(backup["reasoning"]),
+    }).drop("_t", "_s", "_c", "_r", "_ok", LOW, LOW_ALL)
+    return cohere(merged, "event_type", "severity", "classification_confidence", "reasoning")

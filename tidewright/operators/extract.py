@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cap_items, first_keyword, truncate_with_dots
 from ..sources.literals import literal_table
+from .classify import within_limits
 
 # Patterns and keyword lists of the extraction.
 ERROR_CODE = r"(?i)(HTTP\s*\d{3}|OOMKilled|TIMEOUT|SIGKILL|ECONNREFUSED)"
@@ -44,34 +45,36 @@ def regex_fields() -> Column:
     return _fields(truncate_with_dots(payload), F.col("service"), F.regexp_extract(payload, ERROR_CODE, 1), F.lit(REGEX_IMPACT))
 
 
-def offline_fields() -> Column:
-    """What the offline model answers, matched on the payload alone."""
-    payload = F.col("raw_payload")
+def offline_fields(lowered: str = "_low") -> Column:
+    """What the offline model answers, matched on the (lower-cased) payload alone."""
+    low = F.col(lowered)
     return _fields(
-        F.concat(F.lit("Event detected: "), F.substring(payload, 1, 120)),
-        first_keyword(payload, COMPONENTS, "unknown"), first_keyword(payload, ERROR_CODES, ""),
-        first_keyword(payload, IMPACTS, NO_IMPACT),
+        F.concat(F.lit("Event detected: "), F.substring("raw_payload", 1, 120)),
+        first_keyword(low, COMPONENTS, "unknown", lowered=True), first_keyword(low, ERROR_CODES, "", lowered=True),
+        first_keyword(low, IMPACTS, NO_IMPACT, lowered=True),
     )
 
 
+_OUT = {"summary": "extracted_summary", "affected_component": "affected_component", "error_code": "error_code", "user_impact": "user_impact"}
+
+
 def extract(events: DataFrame, model: Column | None = None) -> DataFrame:
     """Add the extracted fields; ``model`` is a struct column, null where it failed."""
-    from .classify import within_limits
-
+    lowered = events.withColumn("_low", F.lower("raw_payload"))
     answer = offline_fields() if model is None else model
-    kinds = dict.fromkeys(("summary", "affected_component", "error_code", "user_impact"), "string")
-    ok = F.when(within_limits(answer, kinds), answer)
-    return (
-        events.withColumn("_f", F.coalesce(ok, regex_fields()))
-        .withColumns({
-            "extracted_summary": F.col("_f.summary"), "affected_component": F.col("_f.affected_component"),
-            "error_code": F.col("_f.error_code"), "user_impact": F.col("_f.user_impact"),
-        }).drop("_f")
+    flat = lowered.withColumns({f"_{f}": answer[f] for f in _OUT})
+    judged = flat.withColumn(
+        "_ok", F.col("_summary").isNotNull() & within_limits({f: F.col(f"_{f}") for f in _OUT})
     )
+    backup = regex_fields()
+    return judged.withColumns(
+        {out: F.when(F.col("_ok"), F.col(f"_{f}")).otherwise(backup[f]) for f, out in _OUT.items()}
+    ).drop("_low", "_ok", *[f"_{f}" for f in _OUT])
 
 
 def cause_rule_id(text: Column) -> Column:
-    return first_keyword(text, [(k, r[0]) for r in CAUSE_RULES for k in r[1]], "unknown")
+    """Rule for a lower-cased text."""
+    return first_keyword(text, [(k, r[0]) for r in CAUSE_RULES for k in r[1]], "unknown", lowered=True)
 
 
 def root_cause(events: DataFrame, failed: Column | None = None, error: str = "RuntimeError") -> DataFrame:
@@ -81,11 +84,12 @@ def root_cause(events: DataFrame, failed: Column | None = None, error: str = "Ru
     table = literal_table(
         events.sparkSession, rows, "_rule string, root_cause string, cause_confidence double, recommendations array<string>"
     ).withColumn("recommendations", cap_items(F.col("recommendations")))
-    rule = cause_rule_id(F.concat_ws(" ", "raw_payload", "extracted_summary"))
+    rule = cause_rule_id(F.col("_said"))
     if failed is not None:
         rule = F.when(failed, "failed").otherwise(rule)
     # Six constant rows: always broadcast, and every rule id has its row.
-    return events.withColumn("_rule", rule).join(F.broadcast(table), "_rule").drop("_rule")
+    said = events.withColumn("_said", F.lower(F.concat_ws(" ", "raw_payload", "extracted_summary")))
+    return said.withColumn("_rule", rule).drop("_said").join(F.broadcast(table), "_rule").drop("_rule")
 
 
 def actionable(recommendations: Column, confidence: Column) -> Column:

@@ -101,8 +101,8 @@ _HEUR = (
 
 @register("classify_heuristic", f"{_HEUR} SELECT {', '.join(_CLS_COLS)} FROM cls")
 def _(t: Tables):
-    none = F.when(F.lit(False), cl.offline_result())
-    return cl.classify(raw_events(t), none).select(*_CLS_COLS)
+    failed = F.lit(None).cast("struct<event_type:string,severity:string,confidence:double,reasoning:string>")
+    return cl.classify(raw_events(t), failed).select(*_CLS_COLS)
 
 
 @register("classify_offline", f"{CLASSIFIED_SQL} SELECT {', '.join(_CLS_COLS)} FROM cls")
@@ -136,8 +136,8 @@ def _(t: Tables):
 
 @register("response_limits", f"{_MIXED} SELECT event_type, failed, count(*) AS n FROM cls GROUP BY ALL")
 def _(t: Tables):
-    judged = raw_events(t).select("raw_payload", "service", "source", wordy_model().alias("m"))
-    failed = ~cl.within_limits(F.col("m"), {"reasoning": "string"})
+    judged = cl.with_lowered(raw_events(t)).withColumn("m", wordy_model())
+    failed = ~cl.within_limits({"reasoning": F.col("m.reasoning")})
     out = judged.withColumn("failed", failed).withColumn(
         "event_type", F.when(F.col("failed"), cl.heuristic_result()["event_type"]).otherwise(F.col("m.event_type"))
     )
@@ -153,13 +153,13 @@ def _(t: Tables):
 )
 def _(t: Tables):
     kind = F.col("event_type")
-    answer = F.struct(
-        F.when(kind == "error", "unknown").otherwise("log").alias("event_type"), F.lit("high").alias("severity"),
-        F.lit(0.9).alias("confidence"),
+    answers = t.events.select(
+        "event_id", F.when(kind == "error", "unknown").otherwise("log").alias("kind"), F.lit("high").alias("severity"),
+        F.lit(0.9).alias("classification_confidence"),
         F.when(kind == "view", "  ").otherwise(F.concat(F.lit(" "), kind, F.lit(" "))).alias("reasoning"),
     )
-    done = t.events.select("event_id", cl.coherent(answer).alias("c"))
-    return done.select("event_id", F.col("c.confidence").alias("classification_confidence"), F.col("c.reasoning").alias("reasoning"))
+    done = cl.cohere(answers, "kind", "severity", "classification_confidence", "reasoning")
+    return done.select("event_id", "classification_confidence", "reasoning")
 
 
 _REGEX_SQL = (
