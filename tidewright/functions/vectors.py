@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from .text import strip_whitespace
 
 
+def let(value: Column, body) -> Column:
+    """Bind a value for use in a lambda: inside a lambda an outer expression is evaluated per element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def as_double(vec: Column) -> Column:
     return vec.cast("array<double>")
 
@@ -28,9 +33,10 @@ def norm(vec: Column) -> Column:
 
 def normalized(vec: Column) -> Column:
     """Unit vector; a zero vector stays as it is."""
-    length = norm(vec)
-    safe = F.when(length == 0, 1.0).otherwise(length)
-    return F.transform(as_double(vec), lambda x: x / safe)
+    def scale(v: Column) -> Column:
+        return let(norm(v), lambda n: F.transform(v, lambda x: x / F.when(n == 0, 1.0).otherwise(n)))
+
+    return let(as_double(vec), scale)
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -43,15 +49,18 @@ def l2_distance(a: Column, b: Column) -> Column:
 
 def hash_embedding(text: Column, dim: int = 64) -> Column:
     """Deterministic unit vector from SHA-256 bytes of the cleaned text, 32 numbers per digest."""
-    cleaned = strip_whitespace(F.lower(text))
     rounds = -(-dim // 32)
-    digests = [F.sha2(F.concat(cleaned, F.lit(f"::{i}")), 256) for i in range(rounds)]
-    hexed = reduce(F.concat, digests)
-    raw = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("double") / F.lit(255.0) * 2 - 1,
-    )
-    return normalized(raw)
+    places = F.sequence(F.lit(0), F.lit(dim - 1))
+
+    def numbers(hexed: Column) -> Column:
+        return F.transform(
+            places, lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("double") / F.lit(255.0) * 2 - 1
+        )
+
+    def digest(clean_text: Column) -> Column:
+        return reduce(F.concat, [F.sha2(F.concat(clean_text, F.lit(f"::{i}")), 256) for i in range(rounds)])
+
+    return let(strip_whitespace(F.lower(text)), lambda c: normalized(let(digest(c), numbers)))
 
 
 def mean_columns(vec: str, dim: int) -> Column:
