@@ -1 +1,146 @@
-"""To come."""
+"""Chunking, search and reranking over the documents; queries are the benchmark passages."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import chunking, lexical
+from ..plans import retrieval as rt
+from . import Tables, register
+from .scalars import unit_sql
+
+_FIXED = (
+    "fx AS (SELECT doc_id, source, unnest(range(0, n))::INTEGER AS chunk_id, text, substr(text, 140 * chunk_id + 1, 160) AS chunk FROM "
+    "(SELECT *, CASE WHEN length(text) = 0 THEN 0 ELSE greatest(1, CAST(ceil((length(text) - 160) / 140.0) AS BIGINT) + 1) END AS n FROM documents))"
+)
+
+
+def fixed(t: Tables):
+    return chunking.fixed(t.documents, "doc_id")
+
+
+@register("chunk_fixed", f"WITH {_FIXED} SELECT doc_id, chunk_id, chunk FROM fx")
+def _(t: Tables):
+    return fixed(t)
+
+
+@register("chunk_recursive")
+def recursive(t: Tables):
+    return chunking.recursive(t.documents, "doc_id")
+
+
+@register("chunk_stats", f"WITH {_FIXED} SELECT 'fixed' AS strategy, count(*) AS chunks, round(avg(length(chunk)), 1) AS mean_chars FROM fx")
+def _(t: Tables):
+    return chunking.stats(fixed(t).withColumn("strategy", F.lit("fixed")), "strategy")
+
+
+@register("union_all_frames", f"WITH {_FIXED} SELECT doc_id, 'fixed' AS strategy, count(*) AS pieces FROM fx GROUP BY ALL UNION ALL SELECT doc_id, 'line' AS strategy, len(string_split(text, chr(10))) AS pieces FROM documents")
+def _(t: Tables):
+    counted = fixed(t).groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces")).withColumn("strategy", F.lit("fixed"))
+    lines = t.documents.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("pieces"), F.lit("line").alias("strategy"))
+    return counted.unionByName(lines)
+
+
+@register("first_n_per_group", f"WITH {_FIXED} SELECT source, doc_id, chunk_id, replace(chunk, chr(10), ' ') AS passage FROM fx QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id, chunk_id) <= 3")
+def _(t: Tables):
+    from pyspark.sql import Window
+
+    rows = chunking.fixed(t.documents.select("doc_id", "text"), "doc_id").join(t.documents.select("doc_id", "source"), "doc_id")
+    order = Window.partitionBy("source").orderBy("doc_id", "chunk_id")
+    # The limit on the rank is pushed below the shuffle: three rows per source leave each task.
+    return rows.withColumn("rn", F.row_number().over(order)).filter("rn <= 3").select(
+        "source", "doc_id", "chunk_id", F.replace("chunk", F.lit("\n"), F.lit(" ")).alias("passage")
+    )
+
+
+# ---- vector search over chunks ----------------------------------------------
+
+def chunk_store(t: Tables):
+    """Embedded fixed chunks, addressed by document and chunk number."""
+    rows = rt.embed_text(fixed(t), "chunk")
+    return rows.withColumn("item_id", F.concat_ws("#", F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lpad(F.col("chunk_id").cast("string"), 6, "0"))).withColumn("source", F.col("doc_id"))
+
+
+def asked(t: Tables):
+    return t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+
+
+def hits(t: Tables, k: int):
+    queries = rt.embed_text(asked(t), "query").select("query_id", "embedding")
+    return rt.search_chunks(queries, chunk_store(t), "fixed", k)
+
+
+def _hits_sql(k: int) -> str:
+    return (
+        f"WITH {_FIXED}, fe AS ({unit_sql('fx', 'doc_id', 'chunk', ', chunk_id, chunk')}), qe AS ({unit_sql('benchmark', 'item_id', 'text', ', text')}), "
+        "s AS (SELECT item_id AS query_id, qe.text AS query, doc_id, chunk_id, chunk, round(list_dot_product(qe.emb, fe.emb), 9) AS score FROM qe, fe), "
+        f"h AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_id) AS INTEGER) AS rank FROM s QUALIFY rank <= {k})"
+    )
+
+
+@register("vector_search_cosine", _hits_sql(4) + " SELECT 'fixed' AS strategy, query_id, rank, doc_id AS source, chunk_id, round(1 - score, 4) AS distance, substr(replace(chunk, chr(10), ' '), 1, 220) AS passage FROM h")
+def _(t: Tables):
+    return hits(t, 4).select("strategy", "query_id", "rank", "source", "chunk_id", "distance", "passage")
+
+
+_RATIO = (
+    "list_filter(list_distinct(string_split_regex(lower(query), '\\s+')), lambda w: w <> '')"
+)
+_RERANK = (
+    _hits_sql(6)
+    + f", r AS (SELECT *, len(list_intersect({_RATIO}, string_split_regex(lower(chunk), '\\s+'))) / len({_RATIO})::DOUBLE AS rs FROM h), "
+    "rr AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rs DESC, doc_id, chunk_id) AS INTEGER) AS new_rank FROM r QUALIFY new_rank <= {})"
+)
+
+
+def reranked(t: Tables, keep: int):
+    found = hits(t, rt.RERANK_FETCH).join(F.broadcast(asked(t)), "query_id") if _few_queries(t) else hits(t, rt.RERANK_FETCH).join(asked(t), "query_id")
+    return lexical.rerank(found, lexical.shared_word_ratio(F.col("query"), F.col("chunk")), keep)
+
+
+def _few_queries(t: Tables) -> bool:
+    from ..operators.knn import rows_within
+
+    return rows_within(asked(t), lexical.MAX_QUERIES)
+
+
+@register("rerank", _RERANK.format(6) + " SELECT query_id, new_rank, rank, doc_id AS source, chunk_id, round(rs, 4) AS rerank_score FROM rr")
+def _(t: Tables):
+    return reranked(t, rt.RERANK_FETCH).select("query_id", "new_rank", "rank", "source", "chunk_id", F.round("rerank_score", 4).alias("rerank_score"))
+
+
+@register("rerank_topn", _RERANK.format(3) + " SELECT query_id, new_rank, doc_id AS source, chunk_id FROM rr")
+def _(t: Tables):
+    return reranked(t, 3).select("query_id", "new_rank", "source", "chunk_id")
+
+
+@register(
+    "build_context",
+    _RERANK.format(3) + " SELECT query_id, string_agg(concat('[Fonte: ', doc_id, ' | chunk ', chunk_id, ']', chr(10), substr(replace(chunk, chr(10), ' '), 1, 220)), chr(10) || chr(10) ORDER BY new_rank) AS context FROM rr GROUP BY query_id",
+)
+def _(t: Tables):
+    return rt.build_context(reranked(t, 3))
+
+
+@register("index_documents", f"WITH {_FIXED} SELECT count(*) AS indexed, CAST(sum(length(chunk)) AS BIGINT) AS chars, max(1) AS version FROM fx")
+def _(t: Tables):
+    store = rt.index_documents(t.documents.select("doc_id", "text"), "doc_id")
+    return store.agg(F.count(F.lit(1)).alias("indexed"), F.sum(F.length("content")).alias("chars"), F.max("version").alias("version"))
+
+
+_W = "list_filter(string_split_regex(lower({}), '\\s+'), lambda w: w <> '')"
+_BM25 = (
+    f"WITH tok AS (SELECT doc_id, unnest({_W.format('text')}) AS w, len({_W.format('text')}) AS dl FROM documents), "
+    f"st AS (SELECT count(*) AS n, avg(len({_W.format('text')})) AS mean FROM documents), tf AS (SELECT doc_id, w, dl, count(*) AS tf FROM tok GROUP BY ALL), "
+    f"qt AS (SELECT item_id AS query_id, unnest(list_distinct({_W.format('text')})) AS w FROM benchmark), "
+    "df AS (SELECT w, count(*) AS df FROM tf WHERE w IN (SELECT w FROM qt) GROUP BY w), "
+    "s AS (SELECT query_id, doc_id AS item_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / mean))), 9) AS score "
+    "FROM qt JOIN df USING (w) JOIN tf USING (w), st GROUP BY query_id, doc_id), "
+    "h AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 5)"
+)
+
+
+@register("search_bm25", f"{_BM25} SELECT query_id, item_id, rank, round(score, 6) AS score FROM h")
+def _(t: Tables):
+    found = lexical.bm25(t.documents, t.benchmark, 5, query_id="item_id")
+    return found.select("query_id", "item_id", "rank", F.round("score", 6).alias("score"))
