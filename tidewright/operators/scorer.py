@@ -30,23 +30,26 @@ def score_with(df: DataFrame, score: Score, schema: str, name: str = "answer", a
     """Add a struct column of scored fields, null for rows the function fails on.
 
     ``score`` gets a batch and returns one row per input row with the columns of
-    ``schema``. When a batch fails it is tried row by row, so one bad row costs
-    only its own answer.
+    ``schema``. A failing batch is halved until the rows it fails on are found,
+    so a bad row costs only its own answer.
     """
     fields = [c.split()[0] for c in schema.split(",")]
 
-    def answers(pdf: pd.DataFrame) -> list:
+    def ask(pdf: pd.DataFrame, tries: int) -> list:
+        return with_retry(lambda: score(pdf), tries, wait)[fields].to_dict("records")
+
+    def answers(pdf: pd.DataFrame, tries: int) -> list:
         try:
-            out = with_retry(lambda: score(pdf), attempts, wait)
-            return out[fields].to_dict("records")
+            return ask(pdf, attempts if len(pdf) == 1 else tries)
         except Exception:
-            if len(pdf) == 1:
-                return [None]
-            return [a for i in range(len(pdf)) for a in answers(pdf.iloc[i:i + 1])]
+            if len(pdf) <= 1:
+                return [None] * len(pdf)
+            half = len(pdf) // 2
+            return answers(pdf.iloc[:half], 1) + answers(pdf.iloc[half:], 1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(**{name: pd.Series(answers(pdf), index=pdf.index, dtype=object)})
+            yield pdf.assign(**{name: pd.Series(answers(pdf, attempts), index=pdf.index, dtype=object)})
 
     struct = f"struct<{','.join(':'.join(c.split()) for c in schema.split(','))}>"
     out = df.schema.simpleString()[len("struct<"):-1]

@@ -1 +1,150 @@
-"""To come."""
+"""Clustering queries. Clusters are the given labels, centres their mean vectors, so results are repeatable."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import clustering as cg
+from . import Tables, register
+from .fixtures import CLUSTERED_SQL, clustered
+from .scalars import _CENTRE, centres
+
+_BASE = (
+    f"WITH {_CENTRE}, tx AS ({CLUSTERED_SQL}), d AS (SELECT tx.*, centre, list_distance(embedding::DOUBLE[], centre) AS distancia_centroide "
+    "FROM tx JOIN c ON c.label = tx.cluster)"
+)
+_PCT = (
+    "p AS (SELECT *, (rank() OVER (PARTITION BY cluster ORDER BY distancia_centroide) + (count(*) OVER (PARTITION BY cluster, distancia_centroide) - 1) / 2.0::DOUBLE) "
+    "/ count(*) OVER (PARTITION BY cluster) AS percentil_distancia FROM d)"
+)
+_SUSP = "s AS (SELECT cluster FROM tx GROUP BY cluster HAVING avg(fraude) >= 0.6)"
+_ALERT = "a AS (SELECT *, CASE WHEN cluster IN (SELECT cluster FROM s) OR percentil_distancia >= 0.98 THEN 1 ELSE 0 END AS alerta FROM p)"
+
+
+def _centres(t: Tables):
+    return centres(t).withColumnRenamed("label", "cluster")
+
+
+def distanced(t: Tables):
+    return cg.centre_distance(clustered(t), _centres(t))
+
+
+@register("join_centroid", f"{_BASE} SELECT vec_id, cluster, round(centre[1], 6) AS c_first, round(centre[64], 6) AS c_last FROM d")
+def _(t: Tables):
+    return clustered(t).join(F.broadcast(_centres(t)), "cluster").select(
+        "vec_id", "cluster", F.round(F.col("centre")[0], 6).alias("c_first"), F.round(F.col("centre")[63], 6).alias("c_last")
+    )
+
+
+@register("centroid_distance", f"{_BASE} SELECT vec_id, cluster, round(distancia_centroide, 6) AS distance FROM d")
+def _(t: Tables):
+    return distanced(t).select("vec_id", "cluster", F.round("distancia_centroide", 6).alias("distance"))
+
+
+@register(
+    "assign_nearest_centroid",
+    f"{_BASE}, n AS (SELECT vec_id, c.label AS cluster, round(list_distance(embedding::DOUBLE[], c.centre), 9) AS dist FROM embeddings, c) "
+    "SELECT vec_id, arg_min(cluster, (dist, cluster)) AS cluster FROM n GROUP BY vec_id",
+)
+def _(t: Tables):
+    return cg.assign_nearest(t.embeddings, _centres(t), "vec_id")
+
+
+@register("percentile_rank_in_group", f"{_BASE}, {_PCT} SELECT vec_id, cluster, round(percentil_distancia, 6) AS pct FROM p")
+def _(t: Tables):
+    ranked = cg.distance_percentile(distanced(t))
+    return ranked.select("vec_id", "cluster", F.round("percentil_distancia", 6).alias("pct"))
+
+
+@register(
+    "cluster_summary",
+    f"{_BASE}, m AS (SELECT cluster, string_agg(merchant, ', ' ORDER BY merchant) AS merchant_exemplo FROM (SELECT DISTINCT cluster, merchant FROM tx QUALIFY dense_rank() OVER (PARTITION BY cluster ORDER BY merchant) <= 3) GROUP BY cluster) "
+    "SELECT cluster, count(*) AS volume, round(avg(fraude), 6) AS fraude_rate, round(avg(valor), 4) AS ticket_medio, round(avg(distancia_centroide), 6) AS distancia_media, merchant_exemplo FROM d JOIN m USING (cluster) GROUP BY cluster, merchant_exemplo",
+)
+def _(t: Tables):
+    told = cg.summary(distanced(t))
+    return told.withColumns({"fraude_rate": F.round("fraude_rate", 6), "ticket_medio": F.round("ticket_medio", 4), "distancia_media": F.round("distancia_media", 6)})
+
+
+@register("filter_in_set", f"{_BASE}, {_SUSP} SELECT vec_id, cluster, fraude, valor FROM tx WHERE cluster IN (SELECT cluster FROM s)")
+def _(t: Tables):
+    rows = clustered(t)
+    return cg.rows_in(rows, cg.suspicious_clusters(rows)).select("vec_id", "cluster", "fraude", "valor")
+
+
+@register("suspicious_rows_top", f"{_BASE}, {_SUSP} SELECT vec_id, cluster, fraude, merchant, valor FROM tx WHERE cluster IN (SELECT cluster FROM s) ORDER BY cluster, valor DESC, vec_id LIMIT 20")
+def _(t: Tables):
+    rows = clustered(t)
+    return cg.suspicious_top(rows, cg.suspicious_clusters(rows)).select("vec_id", "cluster", "fraude", "merchant", "valor")
+
+
+@register("outliers_top", f"{_BASE} SELECT vec_id, cluster, merchant, round(distancia_centroide, 6) AS distance FROM d ORDER BY distancia_centroide DESC, vec_id LIMIT 15")
+def _(t: Tables):
+    return cg.outliers_top(distanced(t)).select("vec_id", "cluster", "merchant", F.round("distancia_centroide", 6).alias("distance"))
+
+
+def alerted(t: Tables):
+    rows = cg.distance_percentile(distanced(t))
+    return cg.flag_alerts(rows, cg.suspicious_clusters(clustered(t)))
+
+
+@register("flag_union", f"{_BASE}, {_PCT}, {_SUSP}, {_ALERT} SELECT vec_id, cluster, alerta FROM a")
+def _(t: Tables):
+    return alerted(t).select("vec_id", "cluster", "alerta")
+
+
+def _report_sql(source: str, truth: str, pred: str) -> str:
+    per = " UNION ALL ".join(
+        f"SELECT '{c}' AS label, coalesce(tp{c} / nullif(pred{c}, 0), 0)::DOUBLE AS p, coalesce(tp{c} / nullif(sup{c}, 0), 0)::DOUBLE AS r, "
+        f"coalesce(2 * tp{c} / nullif(sup{c} + pred{c}, 0), 0)::DOUBLE AS f, sup{c} AS support FROM cm" for c in (0, 1)
+    )
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE {truth} = {c} AND {pred} = {c}) AS tp{c}, count(*) FILTER (WHERE {truth} = {c}) AS sup{c}, count(*) FILTER (WHERE {pred} = {c}) AS pred{c}"
+        for c in (0, 1)
+    )
+    return (
+        f"cm AS (SELECT {counts}, count(*) AS total, count(*) FILTER (WHERE {truth} = {pred}) AS ok FROM {source}), per AS ({per}), "
+        "allrows AS (SELECT * FROM per UNION ALL SELECT 'accuracy', ok / total, ok / total, ok / total, total FROM cm UNION ALL "
+        "SELECT 'macro avg', avg(p), avg(r), avg(f), CAST(sum(support) AS BIGINT) FROM per UNION ALL "
+        "SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), sum(f * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per) "
+        "SELECT label, round(p, 3) AS precision, round(r, 3) AS recall, round(f, 3) AS f1, support FROM allrows"
+    )
+
+
+@register("fraud_clusters", f"{_BASE}, {_PCT}, {_SUSP}, {_ALERT}, " + _report_sql("a", "fraude", "alerta"))
+def _(t: Tables):
+    return cg.classification_report(alerted(t), "fraude", "alerta", [0, 1])
+
+
+@register("classification_report", "WITH l AS (SELECT quality, 1 - toxic AS predicted FROM labels), " + _report_sql("l", "quality", "predicted"))
+def _(t: Tables):
+    judged = t.labels.select("quality", (1 - F.col("toxic")).alias("predicted"))
+    return cg.classification_report(judged, "quality", "predicted", [0, 1])
+
+
+@register("class_proportions", "SELECT quality, round(count(*) / (SELECT count(*) FROM labels)::DOUBLE, 6) AS proportion FROM labels GROUP BY quality")
+def _(t: Tables):
+    return cg.class_proportions(t.labels, "quality").withColumn("proportion", F.round("proportion", 6))
+
+
+@register("add_constant_flags", f"WITH tx AS ({CLUSTERED_SQL}) SELECT vec_id AS tx_id, CASE fraude WHEN 0 THEN 'legítima' WHEN 1 THEN 'fraude' END AS fraude_label FROM tx")
+def _(t: Tables):
+    label = F.when(F.col("fraude") == 0, "legítima").when(F.col("fraude") == 1, "fraude")
+    return clustered(t).select(F.col("vec_id").alias("tx_id"), label.alias("fraude_label"))
+
+
+@register("kmeans_fit_assign")
+def _(t: Tables):
+    rows, centre = cg.kmeans(t.embeddings)
+    return cg.centre_distance(rows, centre).select("vec_id", "cluster", F.round("distancia_centroide", 4).alias("distance"))
+
+
+@register("pca_project")
+def _(t: Tables):
+    xy = cg.Projection(t.embeddings, 2).coordinates(2)
+    return xy.select("vec_id", F.round(F.col("coordinates")[0], 4).alias("x"), F.round(F.col("coordinates")[1], 4).alias("y"))
+
+
+@register("pca_explained_variance")
+def _(t: Tables):
+    return cg.compression_report(t.embeddings, "vec_id")
