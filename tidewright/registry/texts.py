@@ -128,14 +128,17 @@ def _(t: Tables):
     return store.agg(F.count(F.lit(1)).alias("indexed"), F.sum(F.length("content")).alias("chars"), F.max("version").alias("version"))
 
 
-_W = "list_filter(string_split_regex(lower({}), '\\s+'), lambda w: w <> '')"
+_W = "list_filter(string_split_regex(lower(text), '\\s+'), lambda w: w <> '')"
 _BM25 = (
-    f"WITH tok AS (SELECT doc_id, unnest({_W.format('text')}) AS w, len({_W.format('text')}) AS dl FROM documents), "
-    f"st AS (SELECT count(*) AS n, avg(len({_W.format('text')})) AS mean FROM documents), tf AS (SELECT doc_id, w, dl, count(*) AS tf FROM tok GROUP BY ALL), "
-    f"qt AS (SELECT item_id AS query_id, unnest(list_distinct({_W.format('text')})) AS w FROM benchmark), "
-    "df AS (SELECT w, count(*) AS df FROM tf WHERE w IN (SELECT w FROM qt) GROUP BY w), "
-    "s AS (SELECT query_id, doc_id AS item_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / mean))), 9) AS score "
-    "FROM qt JOIN df USING (w) JOIN tf USING (w), st GROUP BY query_id, doc_id), "
+    f"WITH d AS MATERIALIZED (SELECT doc_id, {_W} AS ws FROM documents), "
+    "st AS MATERIALIZED (SELECT count(*) AS n, avg(len(ws)) AS mean FROM d), "
+    f"qt AS MATERIALIZED (SELECT item_id AS query_id, unnest(list_distinct({_W})) AS w FROM benchmark), "
+    "tok AS (SELECT doc_id, len(ws) AS dl, unnest(ws) AS w FROM d), "
+    "tf AS MATERIALIZED (SELECT doc_id, w, dl, count(*) AS tf FROM tok WHERE w IN (SELECT w FROM qt) GROUP BY ALL), "
+    "df AS MATERIALIZED (SELECT w, count(*) AS df FROM tf GROUP BY w), "
+    "wt AS MATERIALIZED (SELECT doc_id, tf.w, ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / mean)) AS x "
+    "FROM tf JOIN df USING (w), st), "
+    "s AS (SELECT query_id, doc_id AS item_id, round(sum(x), 9) AS score FROM qt JOIN wt USING (w) GROUP BY query_id, doc_id), "
     "h AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 5)"
 )
 
