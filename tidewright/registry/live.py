@@ -1 +1,87 @@
-"""To come."""
+"""Streaming queries: the events arrive in time slices, results are compared with the batch job."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import anomaly
+from ..session import scratch_path
+from ..streaming import monitor as mo
+from . import Tables, register
+from .fixtures import RAW_EVENT_SQL, raw_events
+from .monitoring import ENRICHED_SQL, RUN, SCORED_SQL, _CAP_SQL, _LAST, _cap_z, enriched
+
+SLICES = 2
+
+
+def arriving(t: Tables, slices: int = SLICES) -> DataFrame:
+    """The raw events as a stream of files, written one time slice after the other."""
+    path = scratch_path(t.spark, "arriving")
+    ends = t.events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    width = (ends.hi - ends.lo) / slices
+    rows = raw_events(t)
+    for i in range(slices):
+        low, high = ends.lo + i * width, ends.lo + (i + 1) * width
+        inside = (F.col("ts") >= F.lit(low)) & ((F.col("ts") < F.lit(high)) if i < slices - 1 else F.lit(True))
+        rows.filter(inside).coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _run(t: Tables, events: DataFrame, out: str, states: str, **options) -> None:
+    query = mo.monitor(events, out, states, scratch_path(t.spark, "checkpoint"), RUN, **options)
+    query.awaitTermination()
+
+
+def streamed(t: Tables, **options) -> tuple[str, str]:
+    out, states = scratch_path(t.spark, "live"), scratch_path(t.spark, "states")
+    _run(t, arriving(t), out, states, **options)
+    return out, states
+
+
+@register("stream_microbatch", f"{ENRICHED_SQL} SELECT event_id, service, event_type, severity, is_anomaly, risk_score, risk_level, {_CAP_SQL} FROM enr")
+def _(t: Tables):
+    out, _ = streamed(t)
+    return mo.read_results(t.spark, out).select("event_id", "service", "event_type", "severity", "is_anomaly", "risk_score", "risk_level", _cap_z())
+
+
+@register("stream_ewma_state", SCORED_SQL + _LAST)
+def _(t: Tables):
+    _, states = streamed(t)
+    return anomaly.snapshot(mo.read_states(t.spark, states, SLICES - 1))
+
+
+@register("state_reset", SCORED_SQL + _LAST)
+def _(t: Tables):
+    out, states = scratch_path(t.spark, "live"), scratch_path(t.spark, "states")
+    mo.process_batch(raw_events(t), 0, out, states, RUN)
+    mo.reset_states(t.spark, states, 0)  # history is gone: the same events give fresh states
+    mo.process_batch(raw_events(t), 1, out, states, RUN)
+    return anomaly.snapshot(mo.read_states(t.spark, states, 1))
+
+
+@register("stream_batch_parity", f"{ENRICHED_SQL} SELECT service, count(*) AS events, 0::BIGINT AS differing FROM enr GROUP BY service")
+def _(t: Tables):
+    out, _ = streamed(t)
+    live = mo.read_results(t.spark, out).select("event_id", F.struct("z_score", "is_anomaly", "risk_score").alias("live"))
+    batch = enriched(t).select("event_id", "service", F.struct("z_score", "is_anomaly", "risk_score").alias("batch"))
+    both = batch.join(live, "event_id", "left")
+    return both.groupBy("service").agg(F.count(F.lit(1)).alias("events"), F.count_if(~F.col("batch").eqNullSafe(F.col("live"))).alias("differing"))
+
+
+@register("stream_exactly_once_append", f"{ENRICHED_SQL} SELECT service, risk_level, count(*) AS n, count(DISTINCT event_id) AS ids FROM enr GROUP BY ALL")
+def _(t: Tables):
+    out, states = scratch_path(t.spark, "live"), scratch_path(t.spark, "states")
+    events = arriving(t)
+    for _ in range(2):  # as after the loss of the checkpoint: all batches run again
+        _run(t, events, out, states)
+    stored = mo.read_results(t.spark, out)
+    return stored.groupBy("service", "risk_level").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
+
+
+@register("stream_windowed_counts", f"WITH raw AS ({RAW_EVENT_SQL}) SELECT service, strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS events FROM raw GROUP BY ALL")
+def _(t: Tables):
+    out = scratch_path(t.spark, "windows")
+    query = mo.keep_latest(mo.windowed_counts(arriving(t)), out, scratch_path(t.spark, "checkpoint"))
+    query.awaitTermination()
+    return mo.latest_counts(t.spark, out).select("service", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "events")
