@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -30,10 +31,22 @@ def clean_or_null(col: Column) -> Column:
     return F.nullif(clean(col), F.lit(""))
 
 
+def layout_shape(layout: str) -> str:
+    """Pattern every text of a layout has: four digits for a year, one or two for other fields."""
+    pieces = re.findall(r"y+|[dMHms]|'[^']*'|.", layout)
+    digits = {"yyyy": r"\d{4}"} | dict.fromkeys("dMHms", r"\d{1,2}")
+    return "^" + "".join(digits.get(p, re.escape(p.strip("'"))) for p in pieces) + "$"
+
+
 def parse_mixed_timestamp(col: Column, layouts: Sequence[str] = TIMESTAMP_LAYOUTS) -> Column:
-    """First layout that parses the whole text, else null."""
+    """First layout that parses the whole text, else null.
+
+    A failing parse costs an exception per row, so a layout is only tried on
+    texts of its shape.
+    """
     text = F.ltrim(col)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in layouts])
+    tries = [F.when(text.rlike(layout_shape(layout)), F.try_to_timestamp(text, F.lit(layout))) for layout in layouts]
+    return F.coalesce(*tries)
 
 
 def strip_whitespace(col: Column) -> Column:

@@ -8,7 +8,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import tune
+from ..session import spread, tune
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder.rstrip('/')}/{name}.parquet"
 
+    def wide(self, name: str, key: str) -> DataFrame:
+        """A table for costly row work, spread over the cores when it has too few files for them."""
+        return spread(getattr(self, name), key)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

@@ -40,7 +40,7 @@ def funnel_raw(t: Tables) -> DataFrame:
     from pyspark.sql import functions as F
 
     customer = t.customer.select("c_custkey", "c_mktsegment")
-    joined = t.events.join(customer, F.col("user_id") == F.col("c_custkey"))
+    joined = t.wide("events", "event_id").join(customer, F.col("user_id") == F.col("c_custkey"))
     return joined.selectExpr(*FUNNEL_EXPRS)
 
 
@@ -82,7 +82,7 @@ RAW_EVENT_SQL = f"SELECT {', '.join(RAW_EVENT_EXPRS)} FROM events"
 
 
 def raw_events(t: Tables) -> DataFrame:
-    return t.events.selectExpr(*RAW_EVENT_EXPRS)
+    return t.wide("events", "event_id").selectExpr(*RAW_EVENT_EXPRS)
 
 
 # ---- card transactions ------------------------------------------------------

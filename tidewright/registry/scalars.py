@@ -202,7 +202,7 @@ _EMB_SHOW = "round(emb[1], 6) AS first, round(emb[64], 6) AS last, round(list_su
 
 @register("f_sha_embedding", f"SELECT doc_id, {_EMB_SHOW} FROM ({unit_sql('documents', 'doc_id', 'text')})")
 def _(t: Tables):
-    return _show_embedding(t.documents.select("doc_id", vx.hash_embedding(F.col("text")).alias("e")), "doc_id")
+    return _show_embedding(t.wide("documents", "doc_id").select("doc_id", vx.hash_embedding(F.col("text")).alias("e")), "doc_id")
 
 
 def _show_embedding(df, key):

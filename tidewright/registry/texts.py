@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import chunking, lexical
 from ..plans import retrieval as rt
+from ..session import scratch_path
+from ..sources import writers
 from . import Tables, register
 from .scalars import unit_sql
 
@@ -16,7 +18,7 @@ _FIXED = (
 
 
 def fixed(t: Tables):
-    return chunking.fixed(t.documents, "doc_id")
+    return chunking.fixed(t.wide("documents", "doc_id"), "doc_id")
 
 
 @register("chunk_fixed", f"WITH {_FIXED} SELECT doc_id, chunk_id, chunk FROM fx")
@@ -26,7 +28,7 @@ def _(t: Tables):
 
 @register("chunk_recursive")
 def recursive(t: Tables):
-    return chunking.recursive(t.documents, "doc_id")
+    return chunking.recursive(t.wide("documents", "doc_id"), "doc_id")
 
 
 @register("chunk_stats", f"WITH {_FIXED} SELECT 'fixed' AS strategy, count(*) AS chunks, round(avg(length(chunk)), 1) AS mean_chars FROM fx")
@@ -56,7 +58,13 @@ def _(t: Tables):
 # ---- vector search over chunks ----------------------------------------------
 
 def chunk_store(t: Tables):
-    """Embedded fixed chunks, addressed by document and chunk number."""
+    """Embedded fixed chunks, addressed by document and chunk number: built once, stored, then searched."""
+    path = scratch_path(t.spark, "chunks")
+    writers.overwrite_table(_embedded_chunks(t), path)
+    return t.spark.read.parquet(path)
+
+
+def _embedded_chunks(t: Tables):
     rows = rt.embed_text(fixed(t), "chunk")
     return rows.withColumn("item_id", F.concat_ws("#", F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lpad(F.col("chunk_id").cast("string"), 6, "0"))).withColumn("source", F.col("doc_id"))
 
@@ -124,7 +132,7 @@ def _(t: Tables):
 
 @register("index_documents", f"WITH {_FIXED} SELECT count(*) AS indexed, CAST(sum(length(chunk)) AS BIGINT) AS chars, max(1) AS version FROM fx")
 def _(t: Tables):
-    store = rt.index_documents(t.documents.select("doc_id", "text"), "doc_id")
+    store = rt.index_documents(t.wide("documents", "doc_id").select("doc_id", "text"), "doc_id")
     return store.agg(F.count(F.lit(1)).alias("indexed"), F.sum(F.length("content")).alias("chars"), F.max("version").alias("version"))
 
 
@@ -145,5 +153,5 @@ _BM25 = (
 
 @register("search_bm25", f"{_BM25} SELECT query_id, item_id, rank, round(score, 6) AS score FROM h")
 def _(t: Tables):
-    found = lexical.bm25(t.documents, t.benchmark, 5, query_id="item_id")
+    found = lexical.bm25(t.wide("documents", "doc_id"), t.benchmark, 5, query_id="item_id")
     return found.select("query_id", "item_id", "rank", F.round("score", 6).alias("score"))

@@ -147,7 +147,7 @@ _CTX = (
 @register("retrieve_context", f"{_CTX} SELECT query_id, context FROM asked JOIN b USING (query)")
 def _(t: Tables):
     asked = extracted(t).select(F.col("event_id").alias("query_id"), mon.retrieval_query().alias("query"))
-    docs = t.documents.select(F.col("doc_id").alias("item_id"), F.col("text").alias("content"), F.col("lang").alias("type"), "source")
+    docs = t.wide("documents", "doc_id").select(F.col("doc_id").alias("item_id"), F.col("text").alias("content"), F.col("lang").alias("type"), "source")
     return rt.retrieve_context(asked, docs)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on; all of them can be set on a running session.
 SEMANTIC_CONF = {
@@ -68,3 +68,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def task_slots(spark: SparkSession) -> int:
     """Partition count for an ordered layout: the session's own shuffle width."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for costly row work on a table of few files.
+
+    A table with at least one file per core is left alone: there the scan is
+    parallel already and a shuffle would only cost. ``key`` should be unique, so
+    that no partition is hot.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
