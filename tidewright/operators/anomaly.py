@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import severity_value
-from ..session import shared_folder
 from ..sources.literals import literal_table
 from .layout import PART, ordered_layout
 
@@ -232,10 +231,6 @@ class EwmaRun:
                 F.col("mean").alias("s_mean"), F.col("variance").alias("s_variance"), F.col("count").alias("s_count"),
             )
             rows = rows.unionByName(saved)
-        # Range partitioning reads its input twice (to sample, then to move): keep the few key
-        # columns, so that the events are read and classified once.
-        shared_folder(events.sparkSession)
-        rows = rows.checkpoint(eager=True)
         self.layout = ordered_layout(rows, ["bucket", "kind"], [f"k_{c}" for c in self.order], partitions)
         self._starts = self._resolve()
 

@@ -13,7 +13,7 @@ SEPARATORS = ("\n## ", "\n### ", "\n- ", "\n", ". ", " ")
 WINDOWS_PER_SLAB = 128
 
 
-def fixed(docs: DataFrame, key: str, text: str = "text", size: int = 160, overlap: int = 20) -> DataFrame:
+def fixed(docs: DataFrame, key: str, text: str = "text", size: int = 160, overlap: int = 20, keep: Sequence[str] = ()) -> DataFrame:
     """Windows of ``size`` characters, each starting ``size - overlap`` after the last, until the end is covered.
 
     Long texts are first cut into slabs of many windows: taking a substring
@@ -25,9 +25,9 @@ def fixed(docs: DataFrame, key: str, text: str = "text", size: int = 160, overla
     length = F.length(text)
     windows = F.when(length > 0, F.greatest(F.lit(1), F.ceil((length - size) / F.lit(step)).cast("int") + 1)).otherwise(0)
     slab = WINDOWS_PER_SLAB * step
-    counted = docs.select(key, text, windows.alias("_n")).filter("_n > 0")
+    counted = docs.select(key, *keep, text, windows.alias("_n")).filter("_n > 0")
     slabs = counted.select(
-        key, "_n",
+        key, *keep, "_n",
         F.explode(F.transform(
             F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / WINDOWS_PER_SLAB).cast("int")),
             lambda s: F.struct(
@@ -35,10 +35,10 @@ def fixed(docs: DataFrame, key: str, text: str = "text", size: int = 160, overla
                 F.substring(F.col(text), s * slab + 1, F.lit(slab + overlap)).alias("part"),
             ),
         )).alias("s"),
-    ).select(key, F.col("s.first").alias("_first"), F.col("s.part").alias("_part"), F.least(F.lit(WINDOWS_PER_SLAB), F.col("_n") - F.col("s.first")).alias("_k"))
+    ).select(key, *keep, F.col("s.first").alias("_first"), F.col("s.part").alias("_part"), F.least(F.lit(WINDOWS_PER_SLAB), F.col("_n") - F.col("s.first")).alias("_k"))
     pieces = F.transform(F.sequence(F.lit(0), F.col("_k") - 1), lambda i: F.substring(F.col("_part"), i * step + 1, F.lit(size)))
-    return slabs.select(key, "_first", F.posexplode(pieces).alias("_i", "chunk")).select(
-        key, (F.col("_first") + F.col("_i")).alias("chunk_id"), "chunk"
+    return slabs.select(key, *keep, "_first", F.posexplode(pieces).alias("_i", "chunk")).select(
+        key, *keep, (F.col("_first") + F.col("_i")).alias("chunk_id"), "chunk"
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import l2_distance
 from .knn import mean_overlap, top_k
 from .layout import percentile_rank
+from .sizes import broadcast_if_small
 
 # Cluster count, seed and thresholds of the fraud job.
 CLUSTERS, SEED = 7, 42
@@ -36,8 +37,8 @@ def assign_nearest(df: DataFrame, centres: DataFrame, key: str, vec: str = "embe
 
 
 def centre_distance(df: DataFrame, centres: DataFrame, vec: str = "embedding") -> DataFrame:
-    """Distance of each row to the centre of its cluster. Centres are one row per cluster."""
-    near = df.join(F.broadcast(centres), "cluster")
+    """Distance of each row to the centre of its cluster."""
+    near = df.join(broadcast_if_small(centres), "cluster")
     return near.withColumn("distancia_centroide", l2_distance(F.col(vec), F.col("centre"))).drop("centre")
 
 

@@ -21,15 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sizes import rows_within
+
 BROADCAST_BYTES = 64 << 20
 BLOCK_ROWS = 8192
 TIE_DIGITS = 9  # scores closer than this count as equal; the smaller id wins
 
 
-def rows_within(df: DataFrame, bound: int) -> bool:
-    return df.limit(bound + 1).count() <= bound
-
-
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """List column as a matrix, without touching single rows."""
     if isinstance(column, pa.ChunkedArray):
@@ -86,8 +84,11 @@ class BestK:
         ids = np.concatenate([v[0] for v in self.best.values()])
         rows = np.concatenate([v[1] for v in self.best.values()])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(qids.tolist(), types[0]), pa.array(ids.tolist(), types[1]), pa.array(rows, pa.float64())],
-            names=["query_id", "item_id", "score"],
+            [
+                pa.array(qids.tolist(), types[0]), pa.array(ids.tolist(), types[1]), pa.array(rows, pa.float64()),
+                pa.array(np.concatenate([np.arange(1, n + 1) for n in sizes]), pa.int32()),
+            ],
+            names=["query_id", "item_id", "score", "rank"],
         )
 
 
@@ -105,15 +106,18 @@ def top_k(
     vec: str = "embedding", metric: str = "ip", skip_self: bool = False, bound: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Best k items per query as (query_id, item_id, score, rank); fewer when the collection is smaller."""
+    """Best k items per query as (query_id, item_id, score, rank); fewer when the collection is smaller.
+
+    Ids must be unique on both sides.
+    """
     spark = queries.sparkSession
     q, c = _columns(queries, query_id, vec), _columns(items, item_id, vec)
     kinds = q.schema["key"].dataType.simpleString(), c.schema["key"].dataType.simpleString()
-    schema = f"query_id {kinds[0]}, item_id {kinds[1]}, score double"
+    schema = f"query_id {kinds[0]}, item_id {kinds[1]}, score double, rank int"
     types = tuple(pa.int32() if t == "int" else pa.int64() if t == "bigint" else pa.string() for t in kinds)
     probe = c.select(F.size("vec").alias("n")).first()
     if probe is None:
-        return spark.createDataFrame([], schema + ", rank int")
+        return spark.createDataFrame([], schema)
     max_rows = max(1, bound // (8 * probe.n))
     if rows_within(c, max_rows):
         held = c.toArrow()
@@ -129,9 +133,8 @@ def top_k(
                     best.add(keys[at:at + step], ids, score_block(m[at:at + step], mat, metric), skip_self)
                     yield from best.batches(types)
 
-        found = q.mapInArrow(per_query, schema)
-        # Every query is complete already: ranking needs its k rows only.
-    elif rows_within(q, max_rows):
+        return q.mapInArrow(per_query, schema)  # every query is complete where it lies
+    if rows_within(q, max_rows):
         held = q.toArrow()
         shared = spark.sparkContext.broadcast((held["key"].to_pylist(), matrix(held["vec"])))
 
@@ -174,8 +177,11 @@ def _block_join(q: DataFrame, c: DataFrame, k: int, metric: str, skip_self: bool
             for at in range(0, len(a), step):
                 part = a.iloc[at:at + step]
                 best.add(part["key"].tolist(), ids, score_block(np.stack(part["vec"].to_numpy()), mat, metric), skip_self)
-        rows = [(qid, i, s) for qid, (ids, scores) in best.best.items() for i, s in zip(ids.tolist(), scores.tolist())]
-        return pd.DataFrame(rows, columns=["query_id", "item_id", "score"])
+        rows = [
+            (qid, i, s, n) for qid, (ids, scores) in best.best.items()
+            for n, (i, s) in enumerate(zip(ids.tolist(), scores.tolist()), start=1)
+        ]
+        return pd.DataFrame(rows, columns=["query_id", "item_id", "score", "rank"])
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(meet, schema)
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..session import shared_folder, task_slots
 
 PART = "part_no"
+ROWS_PER_PARTITION = 20_000  # below this a further task costs more than it saves
 
 
 def ordered_layout(df: DataFrame, group: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -29,7 +30,11 @@ def ordered_layout(df: DataFrame, group: Sequence[str], order: Sequence[str], pa
     spark = df.sparkSession
     shared_folder(spark)
     keys = [*group, *order]
-    cut = df.repartitionByRange(partitions or task_slots(spark), *keys).sortWithinPartitions(*keys)
+    # Range partitioning reads its input twice (to sample, then to move), so what leads here is settled first.
+    settled = df.checkpoint(eager=True)
+    if partitions is None:
+        partitions = max(1, min(task_slots(spark), settled.count() // ROWS_PER_PARTITION))
+    cut = settled.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
     return cut.withColumn(PART, F.spark_partition_id()).checkpoint(eager=True)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clustering as cg
+from ..operators.sizes import broadcast_if_small
 from . import Tables, register
 from .fixtures import CLUSTERED_SQL, clustered
 from .scalars import _CENTRE, centres
@@ -31,7 +32,7 @@ def distanced(t: Tables):
 
 @register("join_centroid", f"{_BASE} SELECT vec_id, cluster, round(centre[1], 6) AS c_first, round(centre[64], 6) AS c_last FROM d")
 def _(t: Tables):
-    return clustered(t).join(F.broadcast(_centres(t)), "cluster").select(
+    return clustered(t).join(broadcast_if_small(_centres(t)), "cluster").select(
         "vec_id", "cluster", F.round(F.col("centre")[0], 6).alias("c_first"), F.round(F.col("centre")[63], 6).alias("c_last")
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers as nb, text as tx, vectors as vx
 from ..operators import funnel as fn
 from ..operators import risk as rk
+from ..operators.sizes import broadcast_if_small
 from ..plans import monitoring as mon
 from . import Tables, register
 from .fixtures import FUNNEL_SQL, RAW_EVENT_SQL, TX_SQL, funnel_raw, raw_events, transactions
@@ -177,13 +178,13 @@ def centres(t: Tables, vec="embedding", key="label", dim=64):
 
 @register("f_cosine", f"WITH {_CENTRE} SELECT vec_id, round(list_cosine_similarity({_V}, centre), 6) AS similarity FROM embeddings JOIN c USING (label)")
 def _(t: Tables):
-    joined = t.embeddings.join(F.broadcast(centres(t)), "label")  # one row per label
+    joined = t.embeddings.join(broadcast_if_small(centres(t)), "label")
     return joined.select("vec_id", F.round(vx.cosine(F.col("embedding"), F.col("centre")), 6).alias("similarity"))
 
 
 @register("f_l2_distance", f"WITH {_CENTRE} SELECT vec_id, round(list_distance({_V}, centre), 6) AS distance FROM embeddings JOIN c USING (label)")
 def _(t: Tables):
-    joined = t.embeddings.join(F.broadcast(centres(t)), "label")
+    joined = t.embeddings.join(broadcast_if_small(centres(t)), "label")
     return joined.select("vec_id", F.round(vx.l2_distance(F.col("embedding"), F.col("centre")), 6).alias("distance"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import chunking, lexical
+from ..operators.sizes import broadcast_if_small
 from ..plans import retrieval as rt
 from ..session import scratch_path
 from ..sources import writers
@@ -47,7 +48,7 @@ def _(t: Tables):
 def _(t: Tables):
     from pyspark.sql import Window
 
-    rows = chunking.fixed(t.documents.select("doc_id", "text"), "doc_id").join(t.documents.select("doc_id", "source"), "doc_id")
+    rows = chunking.fixed(t.wide("documents", "doc_id"), "doc_id", keep=("source",))
     order = Window.partitionBy("source").orderBy("doc_id", "chunk_id")
     # The limit on the rank is pushed below the shuffle: three rows per source leave each task.
     return rows.withColumn("rn", F.row_number().over(order)).filter("rn <= 3").select(
@@ -102,16 +103,10 @@ _RERANK = (
 
 
 def reranked(t: Tables, keep: int):
-    found = hits(t, rt.RERANK_FETCH).join(F.broadcast(asked(t)), "query_id") if _few_queries(t) else hits(t, rt.RERANK_FETCH).join(asked(t), "query_id")
+    found = hits(t, rt.RERANK_FETCH).join(broadcast_if_small(asked(t), lexical.MAX_QUERIES), "query_id")
     return lexical.rerank(found, lexical.shared_word_ratio(F.col("query"), F.col("chunk")), keep)
 
 
-def _few_queries(t: Tables) -> bool:
-    from ..operators.knn import rows_within
-
-    return rows_within(asked(t), lexical.MAX_QUERIES)
-
-
 @register("rerank", _RERANK.format(6) + " SELECT query_id, new_rank, rank, doc_id AS source, chunk_id, round(rs, 4) AS rerank_score FROM rr")
 def _(t: Tables):
     return reranked(t, rt.RERANK_FETCH).select("query_id", "new_rank", "rank", "source", "chunk_id", F.round("rerank_score", 4).alias("rerank_score"))

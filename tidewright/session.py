@@ -18,6 +18,8 @@ SPEED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go away with the frames that use them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # HotSpot does not compile methods above 8000 bytes: let such stages fall back to split expressions.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
