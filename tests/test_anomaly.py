@@ -66,6 +66,7 @@ def test_equals_recurrence_over_partitions(frame, partitions):
         assert got[i].is_anomaly == flag
         assert abs(got[i].z_score - z) <= 1e-3 * max(1.0, abs(z))
     assert {r.bucket: (r.mean, r.variance, r["count"]) for r in run.states().collect()} == states
+    assert run.rounds <= 6  # replays run side by side, not one partition after the other
 
 
 def test_saved_states_continue_exactly(frame):

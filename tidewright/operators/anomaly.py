@@ -11,9 +11,12 @@ algebraically. What can be done exactly:
    side brackets all starts. Mixed severities merge the two after a few hundred
    events: from there the state is the same for every start, hence exact.
    Stretches that never merge are nearly constant and are kept as runs.
-3. Put the summaries in sequence (at most one per partition) to get each start
-   state. A stretch that neither merges nor compresses is replayed once its
-   start is known, a round at a time.
+3. Put the summaries in sequence (at most two per partition) to get each start
+   state. Stretches that neither merge nor compress (say, strictly alternating
+   values) are replayed, all in parallel, from a guessed start. A replay counts
+   only if its guess turns out to be the true start to the last bit; otherwise
+   it runs again. Guesses come from the predecessors' replays and settle after
+   a few rounds, and each round proves at least one more stretch per bucket.
 4. Replay all partitions in parallel from their exact start states.
 """
 
@@ -125,9 +128,10 @@ class _Stretch:
         if self.known is not None:
             return (self.part, self.bucket, self.rows, True, False, *self.known, [], [])
         merged = self.bracket.merged
-        # A merged stretch cannot know how many events came before it: counts are added up in sequence.
-        state = self.bracket.low if merged else (None, None)
-        return (self.part, self.bucket, self.rows, merged, self.opaque and not merged, *state, None, self.values, self.lengths)
+        # The state is exact when merged, a first guess otherwise. How many events came before is
+        # not known here: counts are added up in sequence.
+        values, lengths = ([], []) if self.opaque else (self.values, self.lengths)
+        return (self.part, self.bucket, self.rows, merged, self.opaque and not merged, *self.bracket.low, None, values, lengths)
 
 
 def _summarise(alpha: float):
@@ -147,30 +151,37 @@ def _summarise(alpha: float):
     return run
 
 
-def _sequence(stretches: list[dict], alpha: float) -> tuple[list[tuple], bool]:
-    """Start states of stretches that continue a bucket, and whether some are still open.
+def _sequence(stretches: list[dict], alpha: float, replayed: dict) -> tuple[list[tuple], list[tuple]]:
+    """Proven start states of stretches that continue a bucket, and replays still needed for the rest.
 
-    ``stretches`` has at most two entries per partition.
+    ``stretches`` has at most two entries per partition. ``replayed`` maps
+    (partition, bucket, start state) to the end state of an earlier replay.
     """
-    starts, open_ends = [], False
+    starts, wanted = [], []
     by_bucket: dict[str, list[dict]] = {}
     for r in stretches:
         by_bucket.setdefault(r["bucket"], []).append(r)
     for bucket, chain in by_bucket.items():
-        state, count = (0.0, 0.0, 0), 0
-        for r in sorted(chain, key=lambda r: r[PART]):
-            if state is None:
-                open_ends = True
-            elif count:
-                starts.append((r[PART], bucket, *state))
-            count = r["count"] if r["count"] is not None else count + r["rows"]
+        chain.sort(key=lambda r: r[PART])
+        state, proven, asked = (0.0, 0.0, 0), True, []
+        for r in chain:
+            place = (r[PART], bucket)
+            if proven and state[2]:
+                starts.append((*place, *state))
+            count = r["count"] if r["count"] is not None else state[2] + r["rows"]
             if r["merged"]:
-                state = (r["mean"], r["variance"], count)
-            elif state is None or r["opaque"]:
-                state = None
-            else:
+                state, proven = (r["mean"], r["variance"], count), True
+            elif not r["opaque"]:
                 state = replay_runs(state, zip(r["run_value"], r["run_length"]), alpha)
-    return starts, open_ends
+            elif (*place, state) in replayed:
+                state = replayed[(*place, state)]
+            else:
+                asked.append((r[PART], bucket, *state))
+                state, proven = (r["mean"], r["variance"], count), False
+        # What only the tail of the chain needs is left to the final replay.
+        last = chain[-1][PART]
+        wanted += [a for a in asked if a[0] < last]
+    return starts, wanted
 
 
 _START = f"{PART} int, bucket string, i_mean double, i_variance double, i_count long"
@@ -239,32 +250,28 @@ class EwmaRun:
         spark = self.layout.sparkSession
         found = self.layout.mapInPandas(_summarise(self.alpha), _SUMMARY)
         stretches = [r.asDict() for r in found.collect()]  # two rows per partition
+        replayed: dict = {}
+        self.rounds = 0
         while True:
-            starts, open_ends = _sequence(stretches, self.alpha)
-            table = F.broadcast(literal_table(spark, starts, _START))
-            if not open_ends:
-                return table
-            # Replay the stretches that hid their end and whose start is known by now.
-            ready = {(s[0], s[1]) for s in starts}
-            todo = [r for r in stretches if r["opaque"] and not r["merged"] and ((r[PART], r["bucket"]) in ready or self._leads(r, stretches))]
-            parts = sorted({r[PART] for r in todo})
-            ends = {(e[PART], e["bucket"]): e for e in self._states(table, parts).collect() if (e[PART], e["bucket"]) in {(r[PART], r["bucket"]) for r in todo}}
-            for r in todo:
-                e = ends[(r[PART], r["bucket"])]
-                r.update(merged=True, mean=e["mean"], variance=e["variance"], count=e["count"])
-
-    @staticmethod
-    def _leads(row: dict, stretches: list[dict]) -> bool:
-        """Whether a stretch is the first of its bucket, hence starts fresh."""
-        return all(o[PART] >= row[PART] for o in stretches if o["bucket"] == row["bucket"])
+            starts, wanted = _sequence(stretches, self.alpha, replayed)
+            if not wanted:
+                return F.broadcast(literal_table(spark, starts, _START))
+            self.rounds += 1
+            asked = {(part, bucket): (mean, variance, count) for part, bucket, mean, variance, count in wanted}
+            table = F.broadcast(literal_table(spark, wanted, _START))
+            for e in self._states(table, sorted({w[0] for w in wanted})).collect():
+                if (e[PART], e["bucket"]) in asked:
+                    key = (e[PART], e["bucket"], asked[(e[PART], e["bucket"])])
+                    replayed[key] = (e["mean"], e["variance"], e["count"])
 
     def _with_starts(self, starts: DataFrame) -> DataFrame:
         return self.layout.join(starts, [PART, "bucket"], "left")
 
     def _states(self, starts: DataFrame, parts: list[int] | None = None) -> DataFrame:
         rows = self._with_starts(starts)
-        if parts is not None:
-            rows = rows.filter(F.col(PART).isin(parts))
+        if parts is not None:  # replays of some stretches: at most two buckets per listed partition
+            asked = F.broadcast(starts.select(PART, "bucket"))
+            rows = rows.filter(F.col(PART).isin(parts)).join(asked, [PART, "bucket"], "left_semi")
         return rows.mapInPandas(_replay(self.alpha, self.threshold, True), f"{PART} int, {STATE_SCHEMA}")
 
     def scores(self) -> DataFrame:
