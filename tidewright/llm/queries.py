@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import chat_format, decontamination, license_scan, quality_rules, sharding
+from . import chat_format, decontamination, license_scan, quality_rules, sharding, token_counts, token_output
 from .common import table
 
+VOCABULARY = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op9_chat_format": chat_format.DIGEST_SQL}
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(VOCABULARY))
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -29,11 +37,23 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
+
+
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("matches")
 
 
+@query
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "token-ids")
+    token_output.write_ids(table(spark, sf_dir, "documents"), vocabulary(), out)
+    return token_output.read_ids(spark, out, digest=True)
+
+
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
