@@ -110,7 +110,7 @@ def _splice(chunks: DataFrame) -> DataFrame:
         .withColumn("next", F.lead("left").over(nxt))
         .withColumn("place", F.array_min(F.array_intersect("right.at", "next.at")))
     )
-    before = lambda side: F.element_at(F.filter(side, lambda p: p["at"] == F.col("place")), 1)["before"]
+    before = lambda side: F.get(F.filter(side, lambda p: p["at"] == F.col("place")), 0)["before"]
     last = F.col("chunk") + 1 == F.col("n_chunks")
     # Up to the place the left chunk counts, from there the right one.
     own = F.when(last, F.col("n_tokens")).otherwise(F.coalesce(before("right"), F.lit(0)) - F.coalesce(before("next"), F.lit(0)))
