@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import chat_format, decontamination, license_scan, quality_rules, sharding, token_counts, token_output
+from . import chat_format, decontamination, license_scan, quality_rules, sharding, token_counts, token_output, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -54,6 +54,11 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_ids(spark, out, digest=True)
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("counts")
+
+
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
