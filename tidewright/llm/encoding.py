@@ -1,7 +1,7 @@
 """Whole texts to ids of a tokenizer of the ``tokenizers`` library, exactly as the library gives them.
 
 Byte-level tokenizers split a text by a fixed pattern before they merge, and merge each part on its own.
-So the JVM splits texts, and the library encodes every different part once per worker (a bounded cache). Texts that hold
+So the JVM splits texts, and the library's model encodes every different part once per worker (a bounded cache). Texts that hold
 added special strings, or characters outside a range on whose classes all pattern engines agree, go through the library
 whole; so does everything for tokenizers of another kind.
 """
@@ -23,6 +23,13 @@ SETTLED = r"^[\t-\r -~¡-ɏ‐-‧‰-⁞€]*$"
 CACHE = 400_000  # parts kept per worker
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes: printable ones for themselves, the rest from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class Encoder:
     """One per worker process and vocabulary file."""
 
@@ -33,7 +40,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._reset()
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.known: dict[str, int] = {}  # part to its number
+        self.sizes = self.starts = self.hits = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -41,28 +51,41 @@ class Encoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.sizes, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-
     def whole(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
 
+    def ids_in_use(self) -> int:
+        return max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+
+    def _forget(self) -> None:
+        """Keep the parts met most often, half of the cache at most."""
+        limit = np.sort(self.hits)[-CACHE // 2]
+        keep = np.flatnonzero(self.hits > limit)
+        sizes = self.sizes[keep]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[keep] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        names = list(self.known)
+        self.known = {names[k]: i for i, k in enumerate(keep)}
+        self.pool, self.sizes, self.starts, self.hits = self.pool[at], sizes, ends - sizes, np.zeros(len(keep), np.int64)
+
     def _learn(self, parts: list[str]) -> np.ndarray:
         """Numbers of the parts in the pool; unknown ones are encoded first."""
         if len(self.known) > CACHE:
-            self._reset()
+            self._forget()
         new = [p for p in parts if p not in self.known]
         if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+            tokenize, letters = self.model.tokenize, self.letters
+            ids = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in new]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-            starts = len(self.pool) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            starts = len(self.pool) + np.cumsum(sizes) - sizes
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             self.sizes, self.starts = np.concatenate((self.sizes, sizes)), np.concatenate((self.starts, starts))
             self.pool = np.concatenate((self.pool, flat))
-        return np.fromiter((self.known[p] for p in parts), np.int64, len(parts))
+            self.hits = np.concatenate((self.hits, np.zeros(len(new), np.int64)))
+        numbers = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        self.hits[numbers] += 1
+        return numbers
 
     def parts(self, flat: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ids of each part, and all ids in a row."""

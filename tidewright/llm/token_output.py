@@ -7,8 +7,11 @@ are decoded side by side by one table that gives id and length for the next ``MA
 
 Documents are written in ascending order of doc_id, nulls first: range-partitioned, so parts are in order too. Rows of one id
 stay together, in order of their text's hash. Null texts are empty; every document ends with the end id. An empty table gives an
-empty file and result. Only the named columns of the input are used. Ids are counted in a first pass and encoded again in a second, as a stored
-copy of all ids would take more disk than the texts.
+empty file and result. Only the named columns of the input are used.
+
+Texts are encoded once, into a draft in the same block format by a code from a bounded sample; the draft's parts also give the exact
+counts of all ids. From these comes the final code, and blocks are recoded one by one. A plain copy of all ids would take more disk than
+the texts.
 """
 
 from __future__ import annotations
@@ -22,12 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import scratch_path
+from .common import unit
 from .encoding import Encoder, split_columns
 
 MAX_BITS = 20
 STEP = 256
 BLOCK_IDS = 65_536  # a block is closed when it has so many; a longer document makes a longer block
 PART_BYTES = 32 << 20  # text bytes of a part
+DRAFT_DOCS = 2_000  # documents the draft's code is made from, about
 TOGETHER = 16  # blocks decoded side by side
 
 BLOCKS = (
@@ -124,107 +130,170 @@ class Codebook:
         return [out[e - n : e].reshape(-1)[:count] for e, n, count in zip(ends, lanes, counts, strict=True)]
 
 
-def _texts(docs: DataFrame, path: str) -> DataFrame:
+def _texts(docs: DataFrame, path: str) -> tuple[DataFrame, tuple]:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     return rows, split_columns(F.col("text"), path)
 
 
-def _count(docs: DataFrame, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Ids in use, their counts, documents and text bytes; as many numbers as the vocabulary has ids."""
-    rows, (parts, whole) = _texts(docs, path)
+def _add(total: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    found = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
+    if len(found) > len(total):
+        found, total = total, found.astype(np.int64)
+    total[: len(found)] += found
+    return total
+
+
+def _draft_code(docs: DataFrame, path: str, n_docs: int) -> "Codebook":
+    """A code for all ids of the vocabulary, from a bounded sample; it only sizes the draft."""
+    rows, (parts, whole) = _texts(docs.where(unit("doc_id", seed=6) < min(1.0, DRAFT_DOCS / max(1, n_docs))), path)
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, docs_, bytes_ = np.zeros(0, np.int64), 0, 0
+        total = np.zeros(0, np.int64)
         for batch in batches:
             if batch.num_rows:
-                _, ids = Encoder.of(path).rows(batch.column(0), batch.column(1))
-                found = np.bincount(np.concatenate(ids)) if ids else np.zeros(0, np.int64)
-                if len(found) > len(total):
-                    found, total = total, found.astype(np.int64)
-                total[: len(found)] += found
-                docs_, bytes_ = docs_ + batch.num_rows, bytes_ + sum(batch.column(2).to_pylist())
+                total = _add(total, np.concatenate(Encoder.of(path).rows(batch.column(0), batch.column(1))[1]))
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(([-1, -2], used)), pa.int64()), pa.array(np.concatenate(([docs_, bytes_], total[used])), pa.int64())], names=["id", "n"]
-        )
-
-    split = rows.select(parts.alias("parts"), whole.alias("whole"), F.octet_length("text").cast("long").alias("bytes"))
-    sums = split.mapInArrow(tally, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    found = dict(zip(sums["id"], sums["n"], strict=True))
-    n_docs, n_bytes = int(found.pop(-1, 0)), int(found.pop(-2, 0))
-    if n_docs:
-        found[end_id] = found.get(end_id, 0) + n_docs
-    ids = np.array(sorted(found), np.int64)
-    return ids, np.array([found[i] for i in ids], np.int64), n_docs, n_bytes
-
-
-def write_ids(docs: DataFrame, path: str, out: str, end_id: int = 2) -> None:
-    """Encode all texts and write ``out``/codebook and ``out``/blocks."""
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
+
+    sums = rows.select(parts.alias("parts"), whole.alias("whole")).mapInArrow(tally, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = np.ones(Encoder.of(path).ids_in_use(), np.int64)
+    for r in sums.collect():  # as many rows as the vocabulary has ids
+        counts[r["id"]] += 100 * r["n"]
+    return Codebook(np.arange(len(counts)), code_lengths(counts))
+
+
+class _Blocks:
+    """Collects documents and closes blocks."""
+
+    schema = pa.schema([
+        ("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())),
+        ("n_ids", pa.int64()), ("bits", pa.binary()), ("checkpoints", pa.list_(pa.int64())),
+    ])
+
+    def __init__(self, code: "Codebook", part: int):
+        self.code, self.part, self.number, self.before = code, part, 0, 0
+        self.counts = np.zeros(0, np.int64)
+        self.names, self.held, self.size = [], [], 0
+
+    @classmethod
+    def row(cls, *values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for f, v in zip(cls.schema, values, strict=True)], schema=cls.schema)
+
+    def add(self, name: int | None, ids: np.ndarray) -> None:
+        self.names.append(name)
+        self.held.append(ids)
+        self.size += len(ids)
+
+    def close(self) -> pa.RecordBatch:
+        flat = np.concatenate(self.held)
+        self.counts = _add(self.counts, flat)
+        bits, at = self.code.encode(flat)
+        made = self.row(self.part, self.number, self.before, self.names, [len(h) for h in self.held], len(flat), bits, at[::STEP])
+        self.number, self.before = self.number + 1, self.before + len(flat)
+        self.names, self.held, self.size = [], [], 0
+        return made
+
+    def tally(self) -> pa.RecordBatch:
+        """A row of block -1: ids and their counts in this part."""
+        used = np.flatnonzero(self.counts)
+        return self.row(self.part, -1, 0, used, [], 0, b"", self.counts[used])
+
+
+def _draft(docs: DataFrame, path: str, out: str, end_id: int) -> None:
+    """All texts in order, encoded once by the draft code; each part also tells its counts."""
     spark = docs.sparkSession
-    ids, counts, _, n_bytes = _count(docs, path, end_id)
-    lengths = code_lengths(counts) if len(ids) else np.zeros(0, np.int64)
-    book = spark.createDataFrame([(int(i), int(n)) for i, n in zip(ids, lengths, strict=True)], "id long, bits int")
-    book.coalesce(1).write.parquet(f"{out}/codebook")
-    code = spark.sparkContext.broadcast(Codebook(ids, lengths)) if len(ids) else None  # bounded by the vocabulary
+    size = docs.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0)).alias("bytes")
+    ).first()
+    code = spark.sparkContext.broadcast(_draft_code(docs, path, size["n"]))  # bounded by the vocabulary
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, number, before = TaskContext.get().partitionId(), 0, 0
-        names, held, size = [], [], 0
-
-        def close() -> pa.RecordBatch:
-            nonlocal number, before, names, held, size
-            flat = np.concatenate(held)
-            bits, at = code.value.encode(flat)
-            row = {
-                "part": [part], "block": [number], "before": [before], "doc_ids": [names], "lengths": [[len(h) for h in held]],
-                "n_ids": [len(flat)], "bits": [bits], "checkpoints": [at[::STEP]],
-            }
-            number, before, names, held, size = number + 1, before + len(flat), [], [], 0
-            return pa.RecordBatch.from_arrays([pa.array(row[f.name], f.type) for f in schema], schema=schema)
-
-        schema = pa.schema([
-            ("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())),
-            ("n_ids", pa.int64()), ("bits", pa.binary()), ("checkpoints", pa.list_(pa.int64())),
-        ])
+        made = _Blocks(code.value, TaskContext.get().partitionId())
         for batch in batches:
             if batch.num_rows:
                 _, rows = Encoder.of(path).rows(batch.column(1), batch.column(2))
                 for name, row in zip(batch.column(0).to_pylist(), rows, strict=True):
-                    names.append(name)
-                    held.append(np.append(row, np.uint32(end_id)))
-                    size += len(row) + 1
-                    if size >= BLOCK_IDS:
-                        yield close()
-        if held:
-            yield close()
+                    made.add(name, np.append(row, np.uint32(end_id)))
+                    if made.size >= BLOCK_IDS:
+                        yield made.close()
+        if made.held:
+            yield made.close()
+        if made.number:
+            yield made.tally()
 
     rows, (parts, whole) = _texts(docs, path)
-    n_parts = max(1, -(-n_bytes // PART_BYTES), spark.sparkContext.defaultParallelism)
+    n_parts = max(1, -(-size["bytes"] // PART_BYTES), spark.sparkContext.defaultParallelism)
     (
         rows.repartitionByRange(n_parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
         .select("doc_id", parts.alias("parts"), whole.alias("whole"))
-        .mapInArrow(blocks, BLOCKS).write.parquet(f"{out}/blocks")
+        .mapInArrow(blocks, BLOCKS).write.parquet(out)
     )
+    _write_code(spark, code.value, f"{out}-codebook")
+
+
+def _write_code(spark: SparkSession, code: "Codebook", out: str) -> None:
+    rows = [(int(i), int(n)) for i, n in zip(code.ids, code.sizes, strict=True)]
+    spark.createDataFrame(rows, "id long, bits int").coalesce(1).write.parquet(out)
+
+
+def _read_code(spark: SparkSession, path: str):
+    book = spark.read.parquet(path).toPandas()  # bounded by the vocabulary
+    return spark.sparkContext.broadcast(Codebook(book["id"].to_numpy(), book["bits"].to_numpy()))
+
+
+def _decoded(batch: pa.RecordBatch, code: "Codebook") -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Blocks of a batch, some at a time: (the other columns' values, ids of each)."""
+    for k in range(0, batch.num_rows, TOGETHER):
+        b = batch.slice(k, TOGETHER)
+        part, number, before, doc_ids, lengths, n_ids, bits, marks = (b.column(i) for i in range(8))
+        ids = code.decode(bits.to_pylist(), [m.values.to_numpy() for m in marks], n_ids.to_pylist())
+        yield [part, number, before, doc_ids, lengths], ids
+
+
+def write_ids(docs: DataFrame, path: str, out: str, end_id: int = 2) -> None:
+    """Encode all texts and write ``out``/codebook and ``out``/blocks."""
+    spark = docs.sparkSession
+    at = scratch_path(spark, "id-draft")
+    _draft(docs, path, at, end_id)
+    draft = spark.read.schema(BLOCKS).parquet(at)
+    counts = (
+        draft.where("block = -1").select(F.explode(F.arrays_zip("doc_ids", "checkpoints")).alias("c"))
+        .groupBy(F.col("c.doc_ids").alias("id")).agg(F.sum("c.checkpoints").alias("n")).toPandas()  # bounded by the vocabulary
+    )
+    if len(counts):
+        final = Codebook(counts["id"].to_numpy(), code_lengths(counts["n"].to_numpy()))
+    else:
+        final = Codebook(np.array([end_id]), np.ones(1, np.int64))
+    _write_code(spark, final, f"{out}/codebook")
+    old, new = _read_code(spark, f"{at}-codebook"), spark.sparkContext.broadcast(final)
+
+    def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (part, number, before, doc_ids, lengths), streams in _decoded(batch, old.value):
+                coded = [new.value.encode(ids) for ids in streams]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part, number, before, doc_ids, lengths, pa.array([len(i) for i in streams], pa.int64()),
+                        pa.array([b for b, _ in coded], pa.binary()), pa.array([a[::STEP] for _, a in coded], pa.list_(pa.int64())),
+                    ],
+                    schema=_Blocks.schema,
+                )
+
+    draft.where("block >= 0").mapInArrow(recode, BLOCKS).write.parquet(f"{out}/blocks")
 
 
 def read_ids(spark: SparkSession, out: str, digest: bool = False) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and the ids, or their unsigned crc32 as little-endian 32-bit numbers."""
     blocks = spark.read.schema(BLOCKS).parquet(f"{out}/blocks")
-    book = spark.read.parquet(f"{out}/codebook").toPandas()  # bounded by the vocabulary
-    code = spark.sparkContext.broadcast(Codebook(book["id"].to_numpy(), book["bits"].to_numpy())) if len(book) else None
+    code = _read_code(spark, f"{out}/codebook")
     last = ("ids_crc32", pa.int64(), "long") if digest else ("ids", pa.list_(pa.int64()), "array<long>")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, TOGETHER):
-                b = batch.slice(k, TOGETHER)
-                part, before, doc_ids, lengths, n_ids, bits, marks = (b.column(i) for i in range(7))
-                streams = code.value.decode(
-                    bits.to_pylist(), [np.array(m.values.to_numpy()) for m in marks], n_ids.to_pylist()
-                )
+            for (part, _, before, doc_ids, lengths), streams in _decoded(batch, code.value):
                 names, starts, sizes, values, parts = [], [], [], [], []
                 for i, ids in enumerate(streams):
                     size = lengths[i].values.to_numpy().astype(np.int64)
@@ -247,9 +316,7 @@ def read_ids(spark: SparkSession, out: str, digest: bool = False) -> DataFrame:
     sums = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row per part
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    read = blocks.select("part", "before", "doc_ids", "lengths", "n_ids", "bits", "checkpoints").mapInArrow(
-        unpack, f"part int, doc_id long, start long, n_tokens long, {last[0]} {last[2]}"
-    )
+    read = blocks.mapInArrow(unpack, f"part int, doc_id long, start long, n_tokens long, {last[0]} {last[2]}")
     return read.join(offsets, "part").select(
         "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", last[0]
     )
