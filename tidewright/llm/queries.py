@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import chat_format, decontamination, license_scan, quality_rules, sharding, token_counts, token_output, toxicity
+from . import chat_format, decontamination, jaccard_join, license_scan, quality_rules, sharding, token_counts, token_output, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -27,6 +27,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_links(table(spark, sf_dir, "documents"))
