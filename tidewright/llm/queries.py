@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import chat_format, decontamination, jaccard_join, license_scan, quality_rules, sharding, token_counts, token_output, toxicity
+from . import chat_format, decontamination, jaccard_join, license_scan, mixing, quality_rules, sharding, token_counts, token_output, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -59,6 +59,11 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_ids(spark, out, digest=True)
 
 
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("counts")
