@@ -26,7 +26,7 @@ MAX_REPEAT_PCT = 20
 # negative sign, below) median + REACH * (quantile HIGH - median) + slack of its group.
 SIGNALS: dict[str, tuple[str, float]] = {
     "symbols_per_word": ("n_symbols / n_words", 0.10),
-    "dup_line_share": ("n_dup_lines / n_lines", 0.30),
+    "dup_line_share": ("n_dup_lines / (n_lines + 2)", 0.20),
     "repeat_share": ("n_repeat_words / n_words", 0.10),
     "chars_per_word": ("word_chars / n_words", 4.00),
 }
@@ -93,7 +93,7 @@ def signals(docs: DataFrame) -> DataFrame:
 
 def _fence(sketch: str, slack: float) -> Column:
     mid, high = (F.expr(f"kll_sketch_get_quantile_double({sketch}, {q}D)") for q in (0.5, HIGH))
-    return mid + REACH * (high - mid) + slack
+    return F.when(F.col("n") > 0, mid + REACH * (high - mid) + slack)  # an empty sketch has no quantiles
 
 
 def thresholds(measured: DataFrame, min_group: int = 100) -> DataFrame:
@@ -115,10 +115,10 @@ def thresholds(measured: DataFrame, min_group: int = 100) -> DataFrame:
     )
     groups = limits(own, "own")
     langs = limits(merged(own.groupBy("lang")), "lang").withColumnRenamed("lang", "_lang")
-    every = limits(merged(own), "all")
+    every = limits(merged(own.groupBy(F.lit(0).alias("_one"))), "all").withColumn("_one", F.lit(0))  # one row at most
     joined = (
         groups.join(langs, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-        .join(F.broadcast(every), F.lit(True), "left")  # one row
+        .withColumn("_one", F.lit(0)).join(every, "_one", "left")
     )
     pick = lambda s: (
         F.when(F.col("n_own") >= min_group, F.col(f"{s}_own"))
