@@ -38,15 +38,29 @@ def _linked(docs: DataFrame) -> DataFrame:
     return store(rows.join(groups, GROUP, "left"), "shard-linked")
 
 
+def _quotas(asked: dict[tuple[int, int], int], room: list[int], n_shards: int) -> tuple[list[float], list[float]]:
+    """Share of those who ask that each shard takes, and how many leave each: what leaves makes room, so shards can swap."""
+    share = [1.0] * n_shards
+    for _ in range(50):
+        leaving, coming = [0.0] * n_shards, [0.0] * n_shards
+        for (a, b), n in asked.items():
+            leaving[a] += n * share[b]
+            coming[b] += n
+        share = [min(s, (room[k] + leaving[k]) / coming[k]) if coming[k] else s for k, s in enumerate(share)]
+    return share, leaving
+
+
 def _propagate(state: DataFrame, n_shards: int, capacity: int, rounds: int) -> DataFrame:
     """Move the members of groups until nothing moves or ``rounds`` are over."""
+    leaving = [1.0] * n_shards
     for turn in range(rounds):
         counts = store(state.groupBy(*GROUP, "shard").agg(F.count(F.lit(1)).alias("n")), "shard-counts")
         load = dict.fromkeys(range(n_shards), 0) | {  # one number per shard
             r["shard"]: r["n"] for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect()
         }
         room = [max(0, capacity - load[s]) for s in range(n_shards)]
-        open_ = lookup([r > 0 for r in room], F.col("shard"), "boolean")
+        # A shard that is full and that nobody leaves takes no one; its group goes on to the next best.
+        open_ = lookup([r > 0 or out >= 1 for r, out in zip(room, leaving, strict=True)], F.col("shard"), "boolean")
         wish = F.struct("n", F.xxhash64(*GROUP, "shard", F.lit(3)).alias("tie"), "shard")
         best = counts.groupBy(*GROUP).agg(F.max(F.when(open_, wish)).alias("best"))
         moves = store(
@@ -54,10 +68,10 @@ def _propagate(state: DataFrame, n_shards: int, capacity: int, rounds: int) -> D
             .select(*GROUP, "shard", "n", F.col("best.shard").alias("to")),
             "shard-moves",
         )
-        asked = {r["to"]: r["n"] for r in moves.groupBy("to").agg(F.sum("n").alias("n")).collect()}  # one per shard
+        asked = {(r["shard"], r["to"]): r["n"] for r in moves.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}  # shards squared
         if not asked:
             break
-        quota = [min(1.0, room[s] / asked[s]) if asked.get(s) else 0.0 for s in range(n_shards)]
+        quota, leaving = _quotas(asked, room, n_shards)
         takes = unit("doc_id", *GROUP, seed=turn) < lookup(quota, F.col("to"), "double")
         state = store(
             state.join(moves.drop("n"), [*GROUP, "shard"], "left")
@@ -68,7 +82,7 @@ def _propagate(state: DataFrame, n_shards: int, capacity: int, rounds: int) -> D
     return state
 
 
-def shard_by_links(docs: DataFrame, n_shards: int = 40, rounds: int = 6) -> DataFrame:
+def shard_by_links(docs: DataFrame, n_shards: int = 40, rounds: int = 10) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (null: the law is ``rows``), n_group."""
     linked = _linked(docs)
     total = linked.count()
