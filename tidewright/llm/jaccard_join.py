@@ -30,7 +30,7 @@ from .common import map_rows, store
 
 WORDS = 5
 POSITIONS = 40  # minimum hashes of a signature
-RUNS, FANOUT, DEPTH, SMALL = 3, 2, 4, 64
+RUNS, FANOUT, DEPTH, SMALL = 3, 2, 3, 64
 ALIKE = 22  # positions in which a pair of a leaf agrees at least; 1 pair in 10,000 of similarity 0.8 has fewer
 CHUNK_SHINGLES, CHUNK_NODES = 1_000_000, 1024  # what a task compares at once
 SHINGLE_BLOCK = 8192
@@ -163,17 +163,20 @@ def similar(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> n
 
 
 def _promising(rows: pa.Table) -> dict | None:
-    """Nodes of a leaf that agree with some other in enough positions; leaves too large to compare at once pass whole."""
-    leaf, nodes, sizes = (rows.column(c).to_numpy() for c in ("leaf", "node", "n"))
-    if len(nodes) > CHUNK_NODES:
-        return {"leaf": leaf, "node": nodes, "n": sizes}
+    """Nodes of a leaf that agree with some other in enough positions, and the chunks that their shingles need."""
+    nodes, sizes = rows.column("node").to_numpy(), rows.column("n").to_numpy()
     marks = np.array(rows.column("mark").to_pylist(), np.int32)
     good = np.zeros(len(nodes), bool)
     for i in range(len(nodes)):
         near = ((marks == marks[i]).sum(axis=1) >= ALIKE) & (5 * np.minimum(sizes, sizes[i]) >= 4 * np.maximum(sizes, sizes[i]))
         near[i] = False
         good[i] = near.any()
-    return {"leaf": leaf[good], "node": nodes[good], "n": sizes[good]} if good.any() else None
+    if not good.any():
+        return None
+    k = -(-int(sizes[good].sum()) // CHUNK_SHINGLES)
+    return {
+        "run": rows.column("run").to_numpy()[good], "leaf": rows.column("leaf").to_numpy()[good], "node": nodes[good], "k": np.full(int(good.sum()), k)
+    }
 
 
 def _forest(rows: pa.Table) -> dict | None:
@@ -222,7 +225,7 @@ def _degrees(rows: pa.Table) -> dict:
 
 
 def _leaves(nodes: DataFrame) -> DataFrame:
-    """run, leaf, node: buckets of two nodes or more at which the chosen paths end."""
+    """run, leaf, node, size: buckets of two nodes or more at which the chosen paths end."""
     spark = nodes.sparkSession
     runs = F.explode(F.array(*[F.struct(F.lit(r).alias("run"), F.xxhash64(F.lit(r)).alias("path")) for r in range(RUNS)])).alias("at")
     open_ = nodes.select("node", "mark", runs).select("node", "mark", "at.run", "at.path")
@@ -237,7 +240,7 @@ def _leaves(nodes: DataFrame) -> DataFrame:
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         kept = store(rows.join(sizes, "path"), "buckets")
         ends = kept.where((F.col("size") <= SMALL) | F.lit(level == DEPTH))
-        found = ends.select("run", F.col("path").alias("leaf"), "node")
+        found = ends.select("run", F.col("path").alias("leaf"), "node", "size")
         leaves = found if leaves is None else leaves.unionByName(found)
         if level < DEPTH:
             large = kept.where(F.col("size") > SMALL)
@@ -266,11 +269,23 @@ def _join_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def _chunks_of(rows: DataFrame, group: str) -> DataFrame:
-    """Add ``k``, the chunks a group is cut into, and ``chunk``."""
-    sums = rows.groupBy(group).agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"), F.countDistinct("label").alias("n_labels"))
-    k = F.greatest(F.ceil(F.col("total") / CHUNK_SHINGLES), F.ceil(F.col("m") / CHUNK_NODES)).cast("int")
-    return rows.join(sums.where("m > 1").withColumn("k", k).drop("total"), group).withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(5)), F.col("k")))
+def _n_chunks(m: str, total: str):
+    return F.greatest(F.ceil(F.col(total) / CHUNK_SHINGLES), F.ceil(F.col(m) / CHUNK_NODES)).cast("int")
+
+
+def _chunk():
+    return F.pmod(F.xxhash64("node", F.lit(5)), F.col("k")).cast("int")
+
+
+def _compared(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
+    """run, leaf, node, k: what is compared, and in how many chunks. Leaves too large for a task are taken whole, unseen."""
+    rows = leaves.join(nodes.select("node", "n", "mark"), "node")
+    small = by_key(
+        rows.where(F.col("size") <= CHUNK_NODES).select("run", "leaf", "node", "n", "mark"), "leaf", _promising, "run int, leaf long, node long, k int"
+    )
+    large = rows.where(F.col("size") > CHUNK_NODES)
+    sums = large.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    return small.unionByName(large.select("run", "leaf", "node").join(sums.select("leaf", _n_chunks("m", "total").alias("k")), "leaf"))
 
 
 def _edges(rows: DataFrame, sets: DataFrame, key) -> DataFrame:
@@ -287,18 +302,19 @@ def _classes(leaves: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
 
     for run in range(RUNS):
         def now() -> DataFrame:
-            rows = leaves.where(F.col("run") == run).select("leaf", "node", "n").join(labels, "node")
-            return _chunks_of(rows, "leaf").where("n_labels > 1")
+            rows = leaves.where(F.col("run") == run).join(labels, "node").withColumn("chunk", _chunk())
+            mixed = rows.groupBy("leaf").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("leaf")
+            return rows.join(mixed, "leaf", "left_semi")
 
         labels = merged(_edges(now(), sets, F.xxhash64("leaf", "chunk")))
-        if not leaves.where((F.col("run") == run) & F.col("wide")).take(1):
+        if not leaves.where((F.col("run") == run) & (F.col("k") > 1)).take(1):
             continue
         # Leaves of several chunks: first some members of each class, then all outside the largest class with every chunk.
         wide = store(now().where("k > 1"), "wide")
         few = wide.groupBy("leaf", "label").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.min_by("node", F.xxhash64("node")).alias("z"))
         some = few.select("leaf", "label", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("node"))
         fits = some.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") <= CHUNK_NODES).select("leaf")
-        labels = merged(_edges(some.join(fits, "leaf"), sets, F.col("leaf")))
+        labels = merged(_edges(some.join(fits, "leaf", "left_semi"), sets, F.col("leaf")))
         wide = store(now().where("k > 1"), "wide")
         largest = wide.groupBy("leaf", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("leaf").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
         wide = wide.join(largest, "leaf")
@@ -306,7 +322,7 @@ def _classes(leaves: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
         parts = rest.select("leaf", "chunk").distinct().withColumnRenamed("chunk", "other")
         # Each pair of (chunk of the rest, chunk of the leaf) is one task.
         right = wide.join(parts, "leaf").select("leaf", "chunk", "other", "node", "label")
-        all_chunks = F.explode(F.sequence(F.lit(0).cast("long"), (F.col("k") - 1).cast("long"))).alias("chunk")
+        all_chunks = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("chunk")
         left = rest.select("leaf", all_chunks, F.col("chunk").alias("other"), "node", "label")
         every = right.unionByName(left).dropDuplicates(["leaf", "chunk", "other", "node"])
         labels = merged(_edges(every, sets, F.xxhash64("leaf", "chunk", "other")))
@@ -315,11 +331,12 @@ def _classes(leaves: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
 
 def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """node, links: similar documents of other nodes, each pair of nodes compared once, in blocks of a class."""
-    cut = _chunks_of(members, "label")
+    sums = members.groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).where("m > 1")
+    cut = members.join(sums.select("label", _n_chunks("m", "total").alias("k")), "label").withColumn("chunk", _chunk())
     # side: 0 within a chunk, else which of two chunks
     side = lambda o: F.when(F.col("chunk") == o, 0).when(F.col("chunk") < o, 1).otherwise(2)
     turns = F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda o: F.struct(
-        F.least(F.col("chunk").cast("int"), o).alias("i"), F.greatest(F.col("chunk").cast("int"), o).alias("j"), side(o).alias("side"))))
+        F.least("chunk", o).alias("i"), F.greatest("chunk", o).alias("j"), side(o).alias("side"))))
     blocks = cut.select("label", "node", "n_docs", turns.alias("t")).select(
         F.xxhash64("label", "t.i", "t.j").alias("key"), "node", "n_docs", "t.side"
     )
@@ -340,15 +357,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "near-nodes",
     )
-    leaves = _leaves(nodes).join(nodes.select("node", "n", "mark"), "node")
-    leaves = store(
-        by_key(leaves.select("leaf", "node", "n", "mark"), "leaf", _promising, "leaf long, node long, n int")
-        .join(leaves.select("run", "leaf").distinct(), "leaf"),
-        "near-leaves",
-    )
-    sums = leaves.groupBy("leaf").agg(((F.count(F.lit(1)) > CHUNK_NODES) | (F.sum("n") > CHUNK_SHINGLES)).alias("wide"))
-    leaves = store(leaves.join(sums, "leaf"), "near-leaves")
-
+    leaves = store(_compared(_leaves(nodes), nodes), "near-leaves")
     candidates = leaves.select("node").distinct()
     wanted = candidates.join(nodes.select("node", "first"), "node").select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).distinct()
     picked = hashed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("text_hash").eqNullSafe(F.col("_hash")), "left_semi")
