@@ -81,11 +81,35 @@ def test_ndjson_reads_one_day_only(spark, frame, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in day._jdf.queryExecution().executedPlan().toString()
 
 
-def test_raw_is_written_once(frame, tmp_path):
-    df = frame([(1, "2024-01-01")], "x long, dt string")
-    writers.save_raw(df, str(tmp_path), "t")
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        writers.save_raw(df, str(tmp_path), "t")
+def test_raw_replaces_its_own_dates_only(spark, frame, tmp_path):
+    for rows in ([(1, "2024-01-01"), (2, "2024-01-01")], [(3, "2024-01-02")], [(4, "2024-01-01")]):
+        path = writers.save_raw(frame(rows, "x long, dt string"), str(tmp_path), "t", "parquet")
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [3, 4]
+
+
+def test_a_second_day_and_a_mended_day(spark, frame, tmp_path):
+    rules, schema = {"price": F.col("price") > 0}, {"id": "bigint", "price": "double"}
+
+    def load(rows, dates=None):
+        df = frame(rows, "id long, price double, day string")
+        return etl.ingest(df, str(tmp_path), "t", rules, schema, F.col("day"), dates=dates)
+
+    load([(1, 5.0, "2024-01-01"), (2, -1.0, "2024-01-01")])
+    paths = load([(3, -2.0, "2024-01-02"), (4, 4.0, "2024-01-02")])
+    ids = lambda p: sorted(int(r.id) for r in spark.read.parquet(paths[p]).collect())
+    assert (ids("raw"), ids("trusted"), ids("dlq")) == ([1, 2, 3, 4], [1, 4], [2, 3])
+    load([(1, 5.0, "2024-01-01"), (2, 1.0, "2024-01-01")])
+    assert (ids("raw"), ids("trusted"), ids("dlq")) == ([1, 2, 3, 4], [1, 2, 4], [3])
+    load([(1, -5.0, "2024-01-01")])
+    assert (ids("raw"), ids("trusted"), ids("dlq")) == ([1, 3, 4], [4], [1, 3])
+
+
+def test_a_batch_that_became_empty_keeps_no_alerts(spark, frame, tmp_path):
+    send, path = writers.table_sink(str(tmp_path / "a")), str(tmp_path / "a")
+    send(frame([(1,)], "x long"), 1)
+    send(frame([(2,)], "x long"), 2)
+    send(frame([(2,)], "x long").filter("x > 2"), 2)
+    assert [(r.x, r.batch_id) for r in spark.read.parquet(path).collect()] == [(1, 1)]
 
 
 def test_partition_overwrite_twice_changes_nothing_else(spark, frame, tmp_path):

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import severity_value
 from ..sources.literals import literal_table
+from ..session import shared_folder
 from .layout import PART, ordered_layout
 
 ALPHA = 0.3
@@ -294,10 +295,16 @@ def detect(events: DataFrame, states: DataFrame | None = None, **options) -> Dat
     """Events (with service, event_type, severity) plus ``z_score`` and ``is_anomaly``.
 
     Only keys travel through the ordered layout; the other columns meet the
-    scores in one join on the event key.
+    scores in one join on the event key. The events are settled first, so a model
+    that classified them is asked once. Events without a time or id have no place in the
+    order: they are kept, with a null score and no anomaly.
     """
+    shared_folder(events.sparkSession)
+    events = events.checkpoint(eager=True)
     order = list(options.get("order", ("ts", "event_id")))
-    return events.join(EwmaRun(events, states=states, **options).scores(), order)
+    placed = events.dropna(subset=order)
+    scored = events.join(EwmaRun(placed, states=states, **options).scores(), order, "left")
+    return scored.withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
 
 
 def snapshot(states: DataFrame) -> DataFrame:

@@ -21,8 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizes import rows_within
-
 BROADCAST_BYTES = 64 << 20
 BLOCK_ROWS = 8192
 TIE_DIGITS = 9  # scores closer than this count as equal; the smaller id wins
@@ -108,18 +106,22 @@ def top_k(
 ) -> DataFrame:
     """Best k items per query as (query_id, item_id, score, rank); fewer when the collection is smaller.
 
-    Ids must be unique on both sides.
+    Ids must be unique on both sides. Rows without a vector, or with a null in it, find nothing and are not
+    found; vectors of different lengths are an error.
     """
     spark = queries.sparkSession
     q, c = _columns(queries, query_id, vec), _columns(items, item_id, vec)
     kinds = q.schema["key"].dataType.simpleString(), c.schema["key"].dataType.simpleString()
     schema = f"query_id {kinds[0]}, item_id {kinds[1]}, score double, rank int"
     types = tuple(pa.int32() if t == "int" else pa.int64() if t == "bigint" else pa.string() for t in kinds)
-    probe = c.select(F.size("vec").alias("n")).first()
-    if probe is None:
+    q, c = (df.filter(F.col("vec").isNotNull() & ~F.exists("vec", lambda x: x.isNull())) for df in (q, c))
+    n_q, n_c = (df.agg(F.count(F.lit(1)).alias("rows"), F.min(F.size("vec")).alias("least"), F.max(F.size("vec")).alias("most")).first() for df in (q, c))
+    if not n_q.rows or not n_c.rows:
         return spark.createDataFrame([], schema)
-    max_rows = max(1, bound // (8 * probe.n))
-    if rows_within(c, max_rows):
+    if len({n_q.least, n_q.most, n_c.least, n_c.most}) > 1:
+        raise ValueError("vectors of different lengths can't be compared")
+    max_rows = max(1, bound // (8 * max(1, n_c.most)))
+    if n_c.rows <= max_rows:
         held = c.toArrow()
         shared = spark.sparkContext.broadcast((_ids(held["key"]), matrix(held["vec"])))
 
@@ -134,7 +136,7 @@ def top_k(
                     yield from best.batches(types)
 
         return q.mapInArrow(per_query, schema)  # every query is complete where it lies
-    if rows_within(q, max_rows):
+    if n_q.rows <= max_rows:
         held = q.toArrow()
         shared = spark.sparkContext.broadcast((held["key"].to_pylist(), matrix(held["vec"])))
 

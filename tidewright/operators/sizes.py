@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def rows_within(df: DataFrame, bound: int) -> bool:
-    """Whether a frame has at most ``bound`` rows; counts no further than that."""
-    return df.limit(bound + 1).count() <= bound
+    """Whether a frame has at most ``bound`` rows: each partition counts, one row per partition is added up."""
+    return df.count() <= bound
 
 
 def broadcast_if_small(df: DataFrame, rows: int = 10_000) -> DataFrame:

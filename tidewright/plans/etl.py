@@ -32,17 +32,25 @@ def lookup(df: DataFrame, dimension: DataFrame, key: str, check_unique: bool = T
 
 
 def ingest(
-    source: DataFrame, base: str, name: str, rules: Mapping[str, Column], schema: Mapping[str, str], dt: Column, fmt: str = "parquet"
+    source: DataFrame, base: str, name: str, rules: Mapping[str, Column], schema: Mapping[str, str], dt: Column, fmt: str = "parquet",
+    dates: Sequence[str] | None = None,
 ) -> dict[str, str]:
-    """Raw copy, checks, typed rows with lineage per ``dt``, dead letters; returns the table paths."""
+    """Raw copy, checks, typed rows with lineage per ``dt``, dead letters; returns the table paths.
+
+    A run stands for its ``dates`` (those of the source, if not given): these are replaced in every
+    layer, and emptied where nothing is left, such as the dead letters of a day whose rows were mended.
+    """
     dated = source.withColumn("dt", dt.cast("date"))
+    if dates is None:
+        dates = [str(r[0]) for r in dated.select("dt").distinct().collect() if r[0] is not None]  # one per partition written
     raw = writers.save_raw(dated, base, name, fmt)
     spark = source.sparkSession
-    checked = ql.check(spark.read.format(fmt).schema(dated.schema).load(raw), rules)
+    stored = spark.read.format(fmt).schema(dated.schema).load(raw)
+    checked = ql.check(stored.filter(F.col("dt").isin(*[F.lit(d).cast("date") for d in dates]) | F.col("dt").isNull()), rules)
     paths = {"raw": raw, "trusted": f"{base}/trusted/{name}", "dlq": f"{base}/trusted/{name}_dlq"}
     typed = ql.enforce_types(ql.valid(checked), {**schema, "dt": "date"})
-    writers.overwrite_partitions(ql.add_lineage(typed, name, F.col("dt")), paths["trusted"])
-    writers.overwrite_partitions(ql.dead_letters(checked), paths["dlq"])
+    writers.overwrite_partitions(ql.add_lineage(typed, name, F.col("dt")), paths["trusted"], values=dates)
+    writers.overwrite_partitions(ql.dead_letters(checked), paths["dlq"], values=dates)
     return paths
 
 

@@ -1,12 +1,14 @@
-"""Writers. A rerun of a job gives the same tables: raw data never changes, partitions are replaced as a whole."""
+"""Writers. A rerun of a job gives the same tables: the named dates or batches are replaced as a whole, all others stay."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
@@ -21,16 +23,32 @@ def by_partition(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", column)
 
 
-def overwrite_partitions(df: DataFrame, path: str, column: str = "dt") -> None:
-    """Replace only the partitions that occur in ``df``."""
+def overwrite_partitions(df: DataFrame, path: str, column: str = "dt", values: Iterable[object] | None = None) -> None:
+    """Replace the partitions that occur in ``df``, and empty those of ``values`` that do not.
+
+    ``values`` are the dates or batches of this run. A partition that has become empty would
+    keep its old rows otherwise, as a dynamic overwrite touches only partitions with new ones.
+    """
     writer = by_partition(df, column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(column).parquet(path)
+    if values is not None:
+        named = {str(v) for v in values}
+        found = {str(r[0]) for r in df.filter(F.col(column).cast("string").isin(*named)).select(column).distinct().collect()}
+        for value in named - found:
+            _drop_folder(df, f"{path.rstrip('/')}/{column}={value}")
+
+
+def _drop_folder(df: DataFrame, path: str) -> None:
+    jvm = df.sparkSession._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def save_raw(df: DataFrame, base: str, name: str, fmt: str = "json", column: str = "dt") -> str:
-    """Write the raw layer once below ``<base>/raw/<name>/dt=...``; writing it again is an error."""
+    """Write the raw layer below ``<base>/raw/<name>/dt=...``: each date of ``df`` is replaced, other dates stay."""
     path = f"{base.rstrip('/')}/raw/{name}"
-    by_partition(df, column).write.mode("errorifexists").format(fmt).partitionBy(column).save(path)
+    writer = by_partition(df, column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.format(fmt).partitionBy(column).save(path)
     return path
 
 
@@ -56,7 +74,12 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def emit(alerts: DataFrame, batch_id: int, sinks: Mapping[str, Sink]) -> dict[str, str | None]:
-    """Give the alerts to every sink; one failing sink does not stop the others. Returns error or None per sink."""
+    """Give the alerts to every sink; one failing sink does not stop the others. Returns error or None per sink.
+
+    The alerts are stored first, so that several sinks do not compute them several times.
+    """
+    shared_folder(alerts.sparkSession)
+    alerts = alerts.checkpoint(eager=True)
     outcome: dict[str, str | None] = {}
     for name, send in sinks.items():
         try:
@@ -70,7 +93,6 @@ def emit(alerts: DataFrame, batch_id: int, sinks: Mapping[str, Sink]) -> dict[st
 def table_sink(path: str) -> Sink:
     """A sink that keeps one partition per batch, so a repeated batch replaces itself."""
     def send(alerts: DataFrame, batch_id: int) -> None:
-        alerts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        overwrite_partitions(alerts.withColumn("batch_id", F.lit(batch_id)), path, "batch_id", [batch_id])
 
     return send
