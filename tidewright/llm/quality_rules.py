@@ -103,22 +103,22 @@ def thresholds(measured: DataFrame, min_group: int = 100) -> DataFrame:
         usable.groupBy("lang", "source").agg(
             F.count(F.lit(1)).alias("n"),
             *[F.expr(f"kll_sketch_agg_double(CAST({e} AS DOUBLE), {SKETCH_K})").alias(s) for s, (e, _) in SIGNALS.items()],
-        ),
+        ).withColumn("_one", F.lit(0)),  # stored, as a constant key would be folded and the join become a product
         "quality-sketches",
     )
     merged = lambda df: df.agg(
         F.sum("n").alias("n"), *[F.expr(f"kll_merge_agg_double({s}, {SKETCH_K})").alias(s) for s in SIGNALS]
     )
     limits = lambda df, tag: df.select(
-        *[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(f"n_{tag}"),
+        *[c for c in ("_one", "lang", "source") if c in df.columns], F.col("n").alias(f"n_{tag}"),
         *[_fence(s, slack).alias(f"{s}_{tag}") for s, (_, slack) in SIGNALS.items()],
     )
     groups = limits(own, "own")
     langs = limits(merged(own.groupBy("lang")), "lang").withColumnRenamed("lang", "_lang")
-    every = limits(merged(own.groupBy(F.lit(0).alias("_one"))), "all").withColumn("_one", F.lit(0))  # one row at most
+    every = limits(merged(own.groupBy("_one")), "all")  # one row at most
     joined = (
         groups.join(langs, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-        .withColumn("_one", F.lit(0)).join(every, "_one", "left")
+        .join(every, "_one", "left")
     )
     pick = lambda s: (
         F.when(F.col("n_own") >= min_group, F.col(f"{s}_own"))
