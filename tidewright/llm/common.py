@@ -85,6 +85,14 @@ def rank_in(df: DataFrame, keys: list[str], order: list[str], rows: int, n_keys:
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lookup(values: list, index: Column, cast: str) -> Column:
     """Element of a short constant list by a column's number."""
     return F.element_at(F.array(*[F.lit(v).cast(cast) for v in values]), index.cast("int") + 1)

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import chat_format, decontamination, jaccard_join, license_scan, mixing, quality_rules, sharding, token_counts, token_output, toxicity
+from . import (
+    chat_format, decontamination, jaccard_join, license_scan, mixing, quality_rules, resampling, sharding, token_counts, token_output, toxicity,
+)
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op9_chat_format": chat_format.DIGEST_SQL}
+SQL: dict[str, str] = {"op9_chat_format": chat_format.DIGEST_SQL, "op11_importance_resampling": resampling.SQL}
 
 
 def vocabulary() -> str:
@@ -79,3 +81,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
