@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 from . import (
-    chat_format, decontamination, jaccard_join, license_scan, mixing, quality_rules, resampling, sharding, token_counts, token_output, toxicity,
+    chat_format, collocations, decontamination, embedding_dedup, jaccard_join, license_scan, mixing, quality_rules, resampling, sharding,
+    token_counts, token_output, toxicity,
 )
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op9_chat_format": chat_format.DIGEST_SQL, "op11_importance_resampling": resampling.SQL}
+SQL: dict[str, str] = {
+    "op9_chat_format": chat_format.DIGEST_SQL,
+    "op11_importance_resampling": resampling.SQL,
+    "op12_embedding_dedup": embedding_dedup.SQL,
+    "op13_collocations": collocations.SQL,
+}
 
 
 def vocabulary() -> str:
@@ -86,3 +92,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
