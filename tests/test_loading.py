@@ -104,6 +104,41 @@ def test_a_second_day_and_a_mended_day(spark, frame, tmp_path):
     assert (ids("raw"), ids("trusted"), ids("dlq")) == ([1, 3, 4], [4], [1, 3])
 
 
+def test_a_named_date_without_rows_is_emptied_in_every_layer(spark, frame, tmp_path):
+    rules, schema = {"price": F.col("price") > 0}, {"id": "bigint", "price": "double"}
+
+    def load(rows, dates):
+        df = frame(rows, "id long, price double, day string")
+        return etl.ingest(df, str(tmp_path), "t", rules, schema, F.col("day"), dates=dates)
+
+    both = ["2024-01-01", "2024-01-02"]
+    load([(1, 5.0, "2024-01-01"), (2, 5.0, "2024-01-02"), (3, -1.0, "2024-01-02")], both)
+    paths = load([(1, 6.0, "2024-01-01"), (7, 1.0, "2024-01-09")], both)  # a date that isn't the run's is not loaded
+    ids = lambda p: sorted(int(r.id) for r in spark.read.parquet(paths[p]).collect())
+    assert (ids("raw"), ids("trusted")) == ([1], [1])
+    assert spark.read.schema("id string").parquet(paths["dlq"]).count() == 0
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_rows_without_a_date_stay_with_their_load(spark, frame, tmp_path, fmt):
+    rules, schema = {"price": F.col("price") > 0}, {"id": "bigint", "price": "double"}
+
+    def load(rows, name=None):
+        df = frame(rows, "id long, price double, day string")
+        return etl.ingest(df, str(tmp_path), "t", rules, schema, F.col("day"), fmt=fmt, load=name)
+
+    load([(1, 5.0, "2024-01-01"), (8, 1.0, None), (80, -1.0, None)])
+    paths = load([(2, 5.0, "2024-01-02"), (9, 1.0, None)])
+    read = lambda p: spark.read.format(fmt if p == "raw" else "parquet").load(paths[p])
+    ids = lambda p: sorted(int(r.id) for r in read(p).collect())
+    assert (ids("raw"), ids("trusted"), ids("dlq")) == ([1, 2, 8, 9, 80], [1, 2, 8, 9], [80])
+    load([(2, 5.0, "2024-01-02")])  # the second load again, mended: its undated row goes, the first load's stay
+    assert (ids("raw"), ids("trusted"), ids("dlq")) == ([1, 2, 8, 80], [1, 2, 8], [80])
+    load([(10, 1.0, None)], "by hand")
+    assert (ids("raw"), ids("trusted")) == ([1, 2, 8, 10, 80], [1, 2, 8, 10])
+    assert read("trusted").where("dt IS NULL").count() == 2
+
+
 def test_a_batch_that_became_empty_keeps_no_alerts(spark, frame, tmp_path):
     send, path = writers.table_sink(str(tmp_path / "a")), str(tmp_path / "a")
     send(frame([(1,)], "x long"), 1)
@@ -155,6 +190,58 @@ def test_lookup_rejects_duplicate_keys(frame):
         etl.lookup(frame([(1,)], "k int"), frame([(1, "a"), (1, "b")], "k int, v string"), "k")
 
 
+def test_csv_columns_by_header_and_records_over_splits(spark, tmp_path):
+    import csv
+    import random
+
+    rng = random.Random(4)
+    cells = ["", "plain", "with, comma", 'say "hi"', "two\nlines", "a\n\n\"\n\"b", "  kept  ", "é,\r\nx", "#"]
+    want = []
+    for n, names in enumerate((["id", "text", "more"], ["more", "id", "other", "text"], ["text", "id"])):
+        rows = [{c: rng.choice(cells) for c in names} | {"id": f"{n}-{i}"} for i in range(400)]
+        rows[7]["text"] = "long\n" * 3000  # longer than several splits
+        with open(tmp_path / f"{n}.csv", "w", newline="", encoding="utf-8") as f:
+            writer = csv.DictWriter(f, names, quoting=csv.QUOTE_ALL, lineterminator="\r\n" if n == 1 else "\n")
+            writer.writeheader()
+            writer.writerows(rows)
+        want += [(r["id"], r.get("text") or None, r.get("more") or None) for r in rows]
+    blank = lambda r: tuple(x or None for x in r)
+    for size in (700, 1 << 20):
+        got = readers.csv_records(spark, str(tmp_path), ["id", "text", "more"], split_bytes=size)
+        assert sorted(blank(r) for r in got.collect()) == sorted(want), size
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != "700"
+
+
+def test_long_stage_chain_and_cycle(frame):
+    schema = "source_id string, relation string, target_id string"
+    edge = lambda a, b: (f"s{a:02d}", "HAPPENS_AFTER", f"s{b:02d}")
+    chain = sem.stage_chain(frame([edge(i + 1, i) for i in range(39)] + [edge(20, 5), ("s01", "OTHER", "s02")], schema)).collect()
+    assert len(chain) == 40 * 39 // 2 and {(r.distance) for r in chain if (r.stage, r.ancestor) == ("s20", "s05")} == {1}
+    assert {(r.distance) for r in chain if (r.stage, r.ancestor) == ("s39", "s00")} == {39 - 14}
+    for edges in ([edge(1, 2), edge(2, 3), edge(3, 1), edge(9, 1)], [edge(4, 4)]):
+        with pytest.raises(ValueError, match="cycle through s0[14]"):
+            sem.stage_chain(frame(edges, schema))
+    assert sem.stage_chain(frame([], schema)).count() == 0
+
+
+def test_wiki_links_are_resolved(frame):
+    pages = frame(
+        [
+            (1, "6 - Notes/Plan.md", "The Plan", ["roadmap"], "see [[Team]] and ![[team#People|the people]] [[ the  plan ]] [[#Here]] [[Nowhere|x]] [[]] [broken](x)"),
+            (2, "1 - Stakeholders/Team.md", "Team", None, "[[6 - Notes/plan.md#Goals]] [[ROADMAP]]\n[[not\nclosed]]"),
+            (3, "3 - Knowledge/team.md", "Other team", [], "[[./Plan]]"), (4, "Lone.md", "Roadmap", None, None),
+        ], "id long, path string, title string, aliases array<string>, body string",
+    )
+    links = nt.resolve(nt.wiki_links(pages, "id", "body"), nt.page_names(pages, "id", "path", "title", "aliases"), "id")
+    got = sorted(((r.id, r.position, r.target, r.part, r.alias, r.embedded, r.page) for r in links.collect()), key=lambda r: r[:2])
+    assert got == [
+        (1, 0, "Team", None, None, False, 2), (1, 1, "team", "People", "the people", True, 2), (1, 2, "the  plan", None, None, False, 1),
+        (1, 3, "", "Here", None, False, 1), (1, 4, "Nowhere", None, "x", False, None),
+        (2, 0, "6 - Notes/plan.md", "Goals", None, False, 1), (2, 1, "ROADMAP", None, None, False, 4), (3, 0, "./Plan", None, None, False, 1),
+    ]
+    assert sorted(r.id for r in nt.without_inbound(pages, "id", links).collect()) == [3]
+
+
 def test_notes(frame):
     pages = frame([("a", "see [[b]] and [[c|text]]"), ("b", "[[b]]"), ("c", "[[a#part]]"), ("d", "")], "id string, body string")
     found = nt.links(pages, "id", "body")

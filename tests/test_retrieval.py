@@ -139,7 +139,7 @@ def test_bm25_equals_brute_force(frame, batch):
     docs = [(i, t) for i, t in enumerate(["the disk is full", "disk disk error", "the cat", "a full moon is full", "", "error in the disk"])]
     queries = [(0, "full disk"), (1, "the error"), (2, "unknown words"), (3, "moon cat"), (4, "is")]
     got = {}
-    found = lexical.bm25(frame(docs, "doc_id long, text string"), frame(queries, "query_id long, text string"), 3, max_queries=batch)
+    found = lexical.bm25(frame(docs, "doc_id long, text string"), frame(queries, "query_id long, text string"), 3, block_queries=batch)
     for r in found.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.item_id, round(r.score, 6)))
     tokens = {i: t.split() for i, t in docs}

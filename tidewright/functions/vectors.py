@@ -66,3 +66,15 @@ def hash_embedding(text: Column, dim: int = 64) -> Column:
 def mean_columns(vec: str, dim: int) -> Column:
     """Mean vector as an aggregate: one partial sum per position, no rows per position."""
     return F.array(*[F.avg(F.get(F.col(vec), F.lit(i)).cast("double")) for i in range(dim)])
+
+
+def sign_projection(vec: Column, dims: int) -> Column:
+    """Projection to ``dims`` numbers: sums of all numbers with signs from a fixed rule (a row of a sign matrix per number), so distances roughly stay.
+
+    The sign of number i (from 0) in sum j is that of the parity of the bits that i + 1 and 37 * j + 11 share.
+    """
+    def part(v: Column, j: int) -> Column:
+        signed = F.transform(v, lambda x, i: F.when(F.bit_count((i + 1).bitwiseAND(37 * j + 11)) % 2 == 0, x).otherwise(-x))
+        return total(signed)
+
+    return let(as_double(vec), lambda v: F.array(*[part(v, j) for j in range(dims)]))

@@ -43,7 +43,8 @@ STATE_SCHEMA = "bucket string, mean double, variance double, count long"
 
 
 def bucket_of(service, event_type):
-    return F.concat_ws(":", service, event_type)
+    """Name of a bucket; a missing part is empty, so that no two buckets meet."""
+    return F.concat(F.coalesce(service, F.lit("")), F.lit(":"), F.coalesce(event_type, F.lit("")))
 
 
 def step(mean: float, variance: float, count: int, value: float, alpha: float):
@@ -226,7 +227,7 @@ class EwmaRun:
     """Scores and final states of one set of events; both read the same ordered layout."""
 
     def __init__(self, events: DataFrame, order=("ts", "event_id"), states: DataFrame | None = None,
-                 alpha: float = ALPHA, threshold: float = THRESHOLD, partitions: int | None = None):
+                 alpha: float = ALPHA, threshold: float = THRESHOLD, partitions: int | None = None, settled: bool = False):
         self.alpha, self.threshold, self.order = alpha, threshold, list(order)
         keys = [F.col(c).alias(f"k_{c}") for c in self.order]
         rows = events.select(
@@ -243,16 +244,21 @@ class EwmaRun:
                 F.col("mean").alias("s_mean"), F.col("variance").alias("s_variance"), F.col("count").alias("s_count"),
             )
             rows = rows.unionByName(saved)
-        self.layout = ordered_layout(rows, ["bucket", "kind"], [f"k_{c}" for c in self.order], partitions)
+        self.layout = ordered_layout(rows, ["bucket", "kind"], [f"k_{c}" for c in self.order], partitions, settled=settled)
         self._starts = self._resolve()
 
     def _resolve(self) -> DataFrame:
         """Start states of the stretches that continue a bucket: at most one per partition."""
         spark = self.layout.sparkSession
-        found = self.layout.mapInPandas(_summarise(self.alpha), _SUMMARY)
+        self.rounds = 0
+        # Only buckets that lie in several partitions have starts to find, at most one per partition boundary; the others are not looked at.
+        spans = self.layout.groupBy("bucket").agg(F.min(PART).alias("lo"), F.max(PART).alias("hi")).where("lo < hi").select("bucket").collect()
+        if not spans:
+            return F.broadcast(literal_table(spark, [], _START))
+        shared = F.broadcast(literal_table(spark, [tuple(r) for r in spans], "bucket string"))
+        found = self.layout.join(shared, "bucket", "left_semi").select(*self.layout.columns).mapInPandas(_summarise(self.alpha), _SUMMARY)
         stretches = [r.asDict() for r in found.collect()]  # two rows per partition
         replayed: dict = {}
-        self.rounds = 0
         while True:
             starts, wanted = _sequence(stretches, self.alpha, replayed)
             if not wanted:
@@ -291,6 +297,16 @@ class EwmaRun:
         return last.select("bucket", "s.*")
 
 
+def detect_and_keep(events: DataFrame, states: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """``detect``, and the states of all buckets after these events."""
+    shared_folder(events.sparkSession)
+    events = events.checkpoint(eager=True)
+    order = list(options.get("order", ("ts", "event_id")))
+    run = EwmaRun(events.dropna(subset=order), states=states, settled=True, **options)
+    scored = events.join(run.scores(), order, "left")
+    return scored.withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False))), run.states()
+
+
 def detect(events: DataFrame, states: DataFrame | None = None, **options) -> DataFrame:
     """Events (with service, event_type, severity) plus ``z_score`` and ``is_anomaly``.
 
@@ -299,12 +315,7 @@ def detect(events: DataFrame, states: DataFrame | None = None, **options) -> Dat
     that classified them is asked once. Events without a time or id have no place in the
     order: they are kept, with a null score and no anomaly.
     """
-    shared_folder(events.sparkSession)
-    events = events.checkpoint(eager=True)
-    order = list(options.get("order", ("ts", "event_id")))
-    placed = events.dropna(subset=order)
-    scored = events.join(EwmaRun(placed, states=states, **options).scores(), order, "left")
-    return scored.withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
+    return detect_and_keep(events, states, **options)[0]
 
 
 def snapshot(states: DataFrame) -> DataFrame:

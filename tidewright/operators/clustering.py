@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import l2_distance
+from ..functions.vectors import l2_distance, mean_columns
+from ..sources.literals import literal_table
 from .knn import mean_overlap, top_k
+from .knn_blocks import matrix
 from .layout import percentile_rank
 from .sizes import broadcast_if_small
 
@@ -153,6 +157,61 @@ class Projection:
         return float(sum(self.model.explainedVariance.toArray()[:dims]))
 
 
+    def certificate(self) -> DataFrame:
+        """Whether the components are what they claim, from the rows alone: one row of numbers.
+
+        ``total_variance`` is the trace of the covariance; ``explained`` the sum of the components' variances over it; ``residual`` the largest distance of
+        the covariance's image of a component from its multiple, as a share of the trace; ``skew`` the largest product of two components.
+        """
+        components = self.model.pc.toArray()  # dims x k numbers
+        centred = self.centre.transform(self.rows).select(vector_to_array("_c").alias("v"))
+        parts = centred.mapInArrow(_second_moments, "n long, sums array<double>")
+        n, sums = 0, None
+        for row in parts.collect():  # dims squared numbers per task
+            n += row["n"]
+            part = np.array(row["sums"])
+            sums = part if sums is None else sums + part
+        covariance = sums.reshape(len(components), -1) / (n - 1)
+        trace, image = float(np.trace(covariance)), covariance @ components
+        values = (components * image).sum(axis=0)
+        residual = float(np.sqrt(((image - components * values) ** 2).sum(axis=0)).max()) / trace
+        skew = float(np.abs(components.T @ components - np.eye(components.shape[1])).max())
+        told = float(np.abs(values / trace - self.model.explainedVariance.toArray()).max())
+        row = (n, components.shape[1], trace, float(values.sum()) / trace, residual, skew, told)
+        names = "rows long, components int, total_variance double, explained double, residual double, skew double, told double"
+        return literal_table(self.rows.sparkSession, [row], names)
+
+
+def _second_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of rows and sums of products of a task's vectors."""
+    n, sums = 0, None
+    for b in batches:
+        if b.num_rows:
+            m = matrix(b.column(0))
+            n, sums = n + len(m), m.T @ m if sums is None else sums + m.T @ m
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))], names=["n", "sums"])
+
+
+def kmeans_certificate(rows: DataFrame, centres: DataFrame, key: str, vec: str = "embedding", tolerance: float = 1e-6) -> DataFrame:
+    """Whether a clustering is what it claims, from the rows: one row of numbers.
+
+    ``misplaced`` counts rows nearer (by more than the tolerance) to another centre than to their own, ``empty`` centres without rows, and ``drift`` is the largest
+    distance of a centre from the mean of its rows.
+    """
+    near = assign_nearest(rows.select(key, vec), centres, key, vec).withColumnRenamed("cluster", "nearest")
+    both = rows.select(key, vec, "cluster").join(near, key).join(broadcast_if_small(centres), "cluster")
+    other = broadcast_if_small(centres.select(F.col("cluster").alias("nearest"), F.col("centre").alias("other")))
+    gap = l2_distance(F.col(vec), F.col("centre")) - l2_distance(F.col(vec), F.col("other"))
+    judged = both.join(other, "nearest").agg(F.count(F.lit(1)).alias("rows"), F.count_if(gap > tolerance).alias("misplaced"))
+    dim = centres.select(F.max(F.size("centre"))).first()[0]
+    means = rows.groupBy("cluster").agg(mean_columns(vec, dim).alias("mean"))
+    moved = centres.join(means, "cluster", "left").agg(
+        F.count(F.lit(1)).alias("clusters"), F.count_if(F.col("mean").isNull()).alias("empty"), F.max(l2_distance(F.col("centre"), F.col("mean"))).alias("drift")
+    )
+    return judged.join(F.broadcast(moved))  # one row each
+
+
 def compression_report(df: DataFrame, key: str, dims: Sequence[int] = (2, 4, 8, 12), k: int = 3, vec: str = "embedding") -> DataFrame:
     """Variance kept and neighbour overlap for several target dimensions; one fit serves all."""
     fit = Projection(df, max(dims), vec)

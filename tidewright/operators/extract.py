@@ -77,19 +77,35 @@ def cause_rule_id(text: Column) -> Column:
     return first_keyword(text, [(k, r[0]) for r in CAUSE_RULES for k in r[1]], "unknown", lowered=True)
 
 
-def root_cause(events: DataFrame, failed: Column | None = None, error: str = "RuntimeError") -> DataFrame:
-    """Cause, confidence and advice by rule; where ``failed`` holds, the fixed answer instead."""
+def root_cause(events: DataFrame, failed: Column | None = None, error: str | Column = "RuntimeError", model: Column | None = None) -> DataFrame:
+    """Cause, confidence and advice: by rule, or as a model answered.
+
+    ``model`` is a struct column (root_cause, confidence, recommendations), null where it failed; ``failed`` marks failures of the rules' caller. Where
+    it failed the fixed answer stands, with the type of the ``error``.
+    """
+    said_error = F.lit(error) if isinstance(error, str) else F.coalesce(error, F.lit("RuntimeError"))
+    before, after = FAILED_CAUSE[0].split("{error}")
+    fixed = {
+        "root_cause": F.concat(F.lit(before), said_error, F.lit(after)), "cause_confidence": F.lit(FAILED_CAUSE[1]),
+        "recommendations": F.array(*map(F.lit, FAILED_CAUSE[2])),
+    }
+    if model is not None:
+        there = model.isNotNull()
+        answer = {
+            "root_cause": F.coalesce(model["root_cause"], F.lit("")), "cause_confidence": model["confidence"],
+            "recommendations": F.coalesce(cap_items(model["recommendations"]), F.array().cast("array<string>")),
+        }
+        return events.withColumns({c: F.when(there, answer[c]).otherwise(fixed[c]) for c in fixed})
     rows = [(r[0], r[2], CAUSE_CONFIDENCE, r[3]) for r in CAUSE_RULES]
-    rows.append(("failed", FAILED_CAUSE[0].format(error=error), FAILED_CAUSE[1], FAILED_CAUSE[2]))
     table = literal_table(
         events.sparkSession, rows, "_rule string, root_cause string, cause_confidence double, recommendations array<string>"
     ).withColumn("recommendations", cap_items(F.col("recommendations")))
-    rule = cause_rule_id(F.col("_said"))
-    if failed is not None:
-        rule = F.when(failed, "failed").otherwise(rule)
-    # Six constant rows: always broadcast, and every rule id has its row.
+    # Five constant rows: always broadcast, and every rule id has its row.
     said = events.withColumn("_said", F.lower(F.concat_ws(" ", "raw_payload", "extracted_summary")))
-    return said.withColumn("_rule", rule).drop("_said").join(F.broadcast(table), "_rule").drop("_rule")
+    caused = said.withColumn("_rule", cause_rule_id(F.col("_said"))).drop("_said").join(F.broadcast(table), "_rule").drop("_rule")
+    if failed is None:
+        return caused
+    return caused.withColumns({c: F.when(failed, fixed[c]).otherwise(F.col(c)) for c in fixed})
 
 
 def actionable(recommendations: Column, confidence: Column) -> Column:

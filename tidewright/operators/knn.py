@@ -7,8 +7,8 @@ query leave a task. Which side travels depends on checked sizes:
   lie, nothing is shuffled;
 * queries fit the bound: they are broadcast, every partition of the collection
   keeps its best k per query, and these are merged;
-* neither fits: both sides are cut into blocks of bounded size and every pair of
-  blocks meets in one task.
+* neither fits: a metric index of the collection tells which of its blocks can
+  hold a query's neighbours, and queries travel to those (``metric_index``).
 """
 
 from __future__ import annotations
@@ -16,104 +16,59 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .knn_blocks import BestK, id_array, matrix, score_block
+from .metric_index import MetricIndex, settled
+
 BROADCAST_BYTES = 64 << 20
 BLOCK_ROWS = 8192
-TIE_DIGITS = 9  # scores closer than this count as equal; the smaller id wins
-
-
-def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """List column as a matrix, without touching single rows."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks)
-    flat = np.asarray(column.flatten(), dtype=np.float64)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
-
-
-def _unit(m: np.ndarray) -> np.ndarray:
-    length = np.sqrt((m * m).sum(axis=1, keepdims=True))
-    return m / np.where(length == 0, 1.0, length)
-
-
-def score_block(queries: np.ndarray, items: np.ndarray, metric: str) -> np.ndarray:
-    """Higher is better: inner product, cosine, or negative Euclidean distance."""
-    if metric == "l2":
-        sq = (queries * queries).sum(1)[:, None] + (items * items).sum(1)[None, :] - 2 * queries @ items.T
-        return -np.sqrt(np.maximum(sq, 0))
-    if metric == "cosine":
-        queries, items = _unit(queries), _unit(items)
-    return queries @ items.T
-
-
-class BestK:
-    """Running best k (score, id) per query over any number of blocks."""
-
-    def __init__(self, k: int):
-        self.k, self.best = k, {}
-
-    def add(self, query_ids, item_ids: np.ndarray, scores: np.ndarray, skip_self: bool = False) -> None:
-        scores = np.round(scores, TIE_DIGITS)
-        for qid, row in zip(query_ids, scores):
-            ids = item_ids
-            if skip_self:
-                keep = ids != qid
-                ids, row = ids[keep], row[keep]
-            if len(row) > self.k:
-                floor = np.partition(row, -self.k)[-self.k]
-                near = np.flatnonzero(row >= floor)
-                ids, row = ids[near], row[near]
-            old = self.best.get(qid)
-            if old is not None:
-                ids, row = np.concatenate([old[0], ids]), np.concatenate([old[1], row])
-            pick = np.lexsort((ids, -row))[: self.k]
-            self.best[qid] = (ids[pick], row[pick])
-
-    def batches(self, types: tuple[pa.DataType, pa.DataType]) -> Iterator[pa.RecordBatch]:
-        if not self.best:
-            return
-        sizes = [len(v[0]) for v in self.best.values()]
-        qids = np.repeat(np.array(list(self.best)), sizes)
-        ids = np.concatenate([v[0] for v in self.best.values()])
-        rows = np.concatenate([v[1] for v in self.best.values()])
+
+
+def _columns(df: DataFrame, key: str, vec: str) -> DataFrame:
+    return df.select(F.col(key).alias("key"), F.col(vec).cast("array<double>").alias("vec"))
+
+
+def _batch(best: BestK, types: tuple[pa.DataType, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    rows, ids, scores, ranks = best.result()
+    if len(rows):
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(qids.tolist(), types[0]), pa.array(ids.tolist(), types[1]), pa.array(rows, pa.float64()),
-                pa.array(np.concatenate([np.arange(1, n + 1) for n in sizes]), pa.int32()),
-            ],
-            names=["query_id", "item_id", "score", "rank"],
+            [pa.array(best.query_ids[rows].tolist(), types[0]), pa.array(ids.tolist(), types[1]), pa.array(scores, pa.float64()),
+             pa.array(ranks, pa.int32())], names=["query_id", "item_id", "score", "rank"],
         )
 
 
-def _ids(column) -> np.ndarray:
-    values = column.to_pylist()
-    return np.array(values)
+def _in_order(ids: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(ids, kind="stable")
+    return ids[order], m[order]
 
 
-def _columns(df: DataFrame, key: str, vec: str) -> DataFrame:
-    return df.select(F.col(key).alias("key"), F.col(vec).cast("array<double>").alias("vec"))
+def _steps(n: int, width: int) -> Iterator[tuple[int, int]]:
+    """Cuts of n queries such that a matrix of scores has some million numbers."""
+    step = max(1, (4 << 20) // max(1, width))
+    return ((at, min(n, at + step)) for at in range(0, n, step))
 
 
 def top_k(
     queries: DataFrame, items: DataFrame, k: int, *, query_id: str = "query_id", item_id: str = "item_id",
     vec: str = "embedding", metric: str = "ip", skip_self: bool = False, bound: int = BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS, settle: bool = False,
 ) -> DataFrame:
     """Best k items per query as (query_id, item_id, score, rank); fewer when the collection is smaller.
 
     Ids must be unique on both sides. Rows without a vector, or with a null in it, find nothing and are not
-    found; vectors of different lengths are an error.
+    found; vectors of different lengths are an error. Sizes are taken before rows: ``settle`` frames whose vectors
+    are costly to compute, so that this happens once.
     """
     spark = queries.sparkSession
     q, c = _columns(queries, query_id, vec), _columns(items, item_id, vec)
     kinds = q.schema["key"].dataType.simpleString(), c.schema["key"].dataType.simpleString()
     schema = f"query_id {kinds[0]}, item_id {kinds[1]}, score double, rank int"
     types = tuple(pa.int32() if t == "int" else pa.int64() if t == "bigint" else pa.string() for t in kinds)
+    if settle:
+        q, c = settled(q, "queries"), settled(c, "items")
     q, c = (df.filter(F.col("vec").isNotNull() & ~F.exists("vec", lambda x: x.isNull())) for df in (q, c))
     n_q, n_c = (df.agg(F.count(F.lit(1)).alias("rows"), F.min(F.size("vec")).alias("least"), F.max(F.size("vec")).alias("most")).first() for df in (q, c))
     if not n_q.rows or not n_c.rows:
@@ -123,69 +78,69 @@ def top_k(
     max_rows = max(1, bound // (8 * max(1, n_c.most)))
     if n_c.rows <= max_rows:
         held = c.toArrow()
-        shared = spark.sparkContext.broadcast((_ids(held["key"]), matrix(held["vec"])))
+        shared = spark.sparkContext.broadcast(_in_order(id_array(held["key"]), matrix(held["vec"])))
 
         def per_query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, mat = shared.value
             for b in batches:
-                keys, m = b.column("key").to_pylist(), matrix(b.column("vec"))
-                step = max(1, (4 << 20) // max(1, len(ids)))
-                for at in range(0, len(keys), step):
-                    best = BestK(k)
-                    best.add(keys[at:at + step], ids, score_block(m[at:at + step], mat, metric), skip_self)
-                    yield from best.batches(types)
+                if not b.num_rows:
+                    continue
+                best, m = BestK(id_array(b.column("key")), k, skip_self), matrix(b.column("vec"))
+                for at, end in _steps(len(m), len(ids)):
+                    best.add(at, ids, score_block(m[at:end], mat, metric))
+                yield from _batch(best, types)
 
         return q.mapInArrow(per_query, schema)  # every query is complete where it lies
     if n_q.rows <= max_rows:
         held = q.toArrow()
-        shared = spark.sparkContext.broadcast((held["key"].to_pylist(), matrix(held["vec"])))
+        shared = spark.sparkContext.broadcast((id_array(held["key"]), matrix(held["vec"])))
 
         def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, mat = shared.value
-            best = BestK(k)
+            best = BestK(keys, k, skip_self)
             for b in batches:
-                ids, m = _ids(b.column("key")), matrix(b.column("vec"))
-                step = max(1, (4 << 20) // max(1, len(ids)))
-                for at in range(0, len(keys), step):
-                    best.add(keys[at:at + step], ids, score_block(mat[at:at + step], m, metric), skip_self)
-            yield from best.batches(types)
+                if not b.num_rows:
+                    continue
+                ids, m = _in_order(id_array(b.column("key")), matrix(b.column("vec")))
+                for at, end in _steps(len(mat), len(ids)):
+                    best.add(at, ids, score_block(mat[at:end], m, metric))
+            yield from _batch(best, types)
 
         found = c.mapInArrow(per_partition, schema)
     else:
-        found = _block_join(q, c, k, metric, skip_self, block_rows, schema)
+        found = MetricIndex(c, metric, block_rows).search(q, k, skip_self)
     by_query = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "item_id")
     return found.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
 
 
-def _block_join(q: DataFrame, c: DataFrame, k: int, metric: str, skip_self: bool, block_rows: int, schema: str) -> DataFrame:
-    """Every query block meets every collection block once; blocks are hashed, so no key can be hot.
+def similarities(queries: DataFrame, items: DataFrame, *, query_id: str = "query_id", item_id: str = "item_id", vec: str = "embedding", metric: str = "ip") -> DataFrame:
+    """Every query with every item of a small collection, as (query_id, item_id, score): scored where the queries lie, nothing ranked.
 
-    The work is quadratic, as an exact answer for two unbounded sides has to be;
-    each task holds two blocks and emits k rows per query.
+    The collection must fit ``BROADCAST_BYTES``; this is checked.
     """
-    nq, nc = (max(1, -(-df.count() // block_rows)) for df in (q, c))
-
-    def block(n: int):
-        return F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")
-
-    left = q.withColumn("qb", block(nq)).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
-    right = c.withColumn("cb", block(nc)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        best = BestK(k)
-        if len(a) and len(b):
-            ids, mat = np.array(b["key"].tolist()), np.stack(b["vec"].to_numpy())
-            step = max(1, (4 << 20) // len(ids))
-            for at in range(0, len(a), step):
-                part = a.iloc[at:at + step]
-                best.add(part["key"].tolist(), ids, score_block(np.stack(part["vec"].to_numpy()), mat, metric), skip_self)
-        rows = [
-            (qid, i, s, n) for qid, (ids, scores) in best.best.items()
-            for n, (i, s) in enumerate(zip(ids.tolist(), scores.tolist()), start=1)
-        ]
-        return pd.DataFrame(rows, columns=["query_id", "item_id", "score", "rank"])
-
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(meet, schema)
+    q, c = _columns(queries, query_id, vec), settled(_columns(items, item_id, vec), "items")
+    q, c = (df.filter(F.col("vec").isNotNull() & ~F.exists("vec", lambda x: x.isNull())) for df in (q, c))
+    size = c.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("vec")).alias("most")).first()
+    if size.rows * 8 * (size.most or 0) > BROADCAST_BYTES:
+        raise ValueError("the collection is too large for a matrix of all scores; ask for the best k")
+    held = c.toArrow()
+    shared = queries.sparkSession.sparkContext.broadcast((held["key"].combine_chunks(), matrix(held["vec"])))
+    kinds = q.schema["key"].dataType.simpleString(), c.schema["key"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, mat = shared.value
+        for b in batches:
+            if not b.num_rows or not len(ids):
+                continue
+            m = matrix(b.column("vec"))
+            for at, end in _steps(len(m), 64 * len(ids)):
+                scores = score_block(m[at:end], mat, metric)
+                rows, cols = np.divmod(np.arange(scores.size), len(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("key").take(pa.array(rows + at)), ids.take(pa.array(cols)), pa.array(scores.ravel())], names=["query_id", "item_id", "score"]
+                )
+
+    return q.mapInArrow(run, f"query_id {kinds[0]}, item_id {kinds[1]}, score double")
 
 
 def upsert(current: DataFrame, changes: DataFrame, key: str = "doc_id", version: str = "version") -> DataFrame:

@@ -18,26 +18,41 @@ from ..session import shared_folder, task_slots
 
 PART = "part_no"
 ROWS_PER_PARTITION = 20_000  # below this a further task costs more than it saves
+MAX_ROWS_PER_PARTITION = 2_000_000  # beyond this a partition is cut, however few shuffle partitions the session asks for
 
 
-def ordered_layout(df: DataFrame, group: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
+def ordered_layout(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], partitions: int | None = None, settled: bool = False
+) -> DataFrame:
     """Rows sorted over all partitions by (group, order), with the partition number as a column.
 
     Partition bounds come from sampling, so a second evaluation could cut
     elsewhere: the layout is checkpointed to the shared folder, where it also
-    survives the loss of executors.
+    survives the loss of executors. ``settled`` input is cheap to read again, such as columns of a table.
     """
     spark = df.sparkSession
     shared_folder(spark)
     keys = [*group, *order]
     # Range partitioning reads its input twice (to sample, then to move), so what leads here is settled first.
-    settled = df.checkpoint(eager=True)
+    df = df if settled else df.checkpoint(eager=True)
     if partitions is None:
-        partitions = max(1, min(task_slots(spark), settled.count() // ROWS_PER_PARTITION))
-    cut = settled.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+        rows = df.count()
+        partitions = max(1, min(task_slots(spark), rows // ROWS_PER_PARTITION), rows // MAX_ROWS_PER_PARTITION)
+    cut = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
     return cut.withColumn(PART, F.spark_partition_id()).checkpoint(eager=True)
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
+    """``df`` with its place in the order over the whole table, from 0, in column ``name``: one summary row per partition is sequenced."""
+    laid = ordered_layout(df, [], order, partitions)
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    starts = laid.groupBy(PART).agg(F.count(F.lit(1)).alias("_n")).select(PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    nth = F.row_number().over(Window.partitionBy(PART).orderBy(*order)) - 1
+    return laid.withColumn(name, nth).join(F.broadcast(starts), PART).withColumn(
+        name, (F.col("_start") + F.col(name)).cast("long")
+    ).drop(PART, "_start")
+
+
 def running_totals(
     df: DataFrame, group: Sequence[str], order: Sequence[str], amounts: dict[str, str], partitions: int | None = None
 ) -> DataFrame:

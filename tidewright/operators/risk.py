@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.numbers import call_cost_usd, clamp, risk_level, round_half_even
@@ -122,14 +124,48 @@ def calls_summary(calls: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def run_record(enriched: DataFrame, calls: DataFrame, run_id: str, threshold: int = ALERT_THRESHOLD) -> DataFrame:
-    """One row for the run: event counts joined to the call summary on the run id."""
-    counts = enriched.groupBy(F.lit(run_id).alias("run_id")).agg(
+RUN_SCHEMA = (
+    "run_id string, prompt_version string, started_at timestamp, finished_at timestamp, events_processed long, events_classified long, "
+    "anomalies_detected long, alerts_emitted long, total_calls long, total_input_tokens long, total_output_tokens long, total_cost_usd double, "
+    "avg_latency_ms double, fallback_rate double"
+)
+
+
+def run_facts(threshold: int = ALERT_THRESHOLD) -> list[Column]:
+    """What a run's record says of its events, as aggregates to observe while they are written."""
+    return [
         F.count(F.lit(1)).alias("events_processed"), F.count("event_type").alias("events_classified"),
-        F.count_if("is_anomaly").alias("anomalies_detected"),
-        F.count_if(F.col("risk_score") >= threshold).alias("alerts_emitted"),
+        F.count_if("is_anomaly").alias("anomalies_detected"), F.count_if(F.col("risk_score") >= threshold).alias("alerts_emitted"),
+    ]
+
+
+def call_facts(latency: str | None = "latency_ms") -> list[Column]:
+    """What a run's record says of its calls, as aggregates to observe while they are written."""
+    return [
+        F.count(F.lit(1)).alias("total_calls"), F.sum("input_tokens").alias("total_input_tokens"), F.sum("output_tokens").alias("total_output_tokens"),
+        F.sum("estimated_cost_usd").alias("total_cost_usd"), F.sum(F.col("fallback_used").cast("int")).alias("fallbacks"),
+        (F.sum(latency) if latency else F.lit(None).cast("double")).alias("latency_ms"),
+    ]
+
+
+def run_row(spark, run_id: str, version: str, started: datetime, finished: datetime, events: dict, calls: dict) -> DataFrame:
+    """The record of a run as one row, from two observations; all call numbers are zero when nothing was asked."""
+    n = calls["total_calls"]
+    row = (
+        run_id, version, started, finished, *[events[c] for c in ("events_processed", "events_classified", "anomalies_detected", "alerts_emitted")],
+        n, calls["total_input_tokens"] or 0, calls["total_output_tokens"] or 0, round(calls["total_cost_usd"] or 0.0, 6),
+        round((calls["latency_ms"] or 0.0) / n, 2) if n else 0.0, round((calls["fallbacks"] or 0) / n, 4) if n else 0.0,
     )
-    return counts.join(calls_summary(calls.withColumn("run_id", F.lit(run_id)), "run_id"), "run_id")
+    return literal_table(spark, [row], RUN_SCHEMA)
+
+
+def run_record(enriched: DataFrame, calls: DataFrame, run_id: str, out: str, threshold: int = ALERT_THRESHOLD, version: str = "v1") -> DataFrame:
+    """Store the events and calls of a run below ``out``; its record, one row, is taken while they are written: one pass over each."""
+    started, seen, asked = datetime.now(timezone.utc), Observation("run"), Observation("calls")
+    enriched.observe(seen, *run_facts(threshold)).write.mode("overwrite").parquet(f"{out}/enriched")
+    latency = "latency_ms" if "latency_ms" in calls.columns else None
+    calls.observe(asked, *call_facts(latency)).write.mode("overwrite").parquet(f"{out}/calls")
+    return run_row(enriched.sparkSession, run_id, version, started, datetime.now(timezone.utc), seen.get, asked.get)
 
 
 def cycle_stats(enriched: DataFrame, cycle: Column, threshold: int = ALERT_THRESHOLD) -> DataFrame:

@@ -7,7 +7,6 @@ the one thing the driver may read; all measures run on the user table.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import ratio_pct
 from ..sources.literals import literal_table
 from .funnel import DEFAULT, FunnelSpec
+from .metric_index import settled
 
 NODE_SCHEMA = "node_id string, node_type string, label string, physical_ref string, description string"
 EDGE_SCHEMA = "source_id string, relation string, target_id string, confidence double, description string"
@@ -206,22 +206,23 @@ def stage_order_violations(users: DataFrame, edge_df: DataFrame) -> DataFrame:
     return users.withColumn("broken", broken).filter(F.size("broken") > 0)
 
 
-def stage_chain(edge_df: DataFrame, max_depth: int = 16) -> DataFrame:
-    """All (stage, ancestor, distance) of the stage graph, by repeated joins of the small edge table.
+def stage_chain(edge_df: DataFrame) -> DataFrame:
+    """All (stage, ancestor, distance) of the stage graph, with the shortest distance; a cycle is an error that names its stages.
 
-    ``max_depth`` only guards against cycles; the loop ends when a step adds nothing.
+    A fixpoint by doubling: each step joins the pairs known with themselves, so paths twice as long are known after it, and a
+    chain of n stages takes log n steps. It ends when a step finds no new pair.
     """
-    step = edge_df.filter(F.col("relation") == "HAPPENS_AFTER").select("source_id", "target_id")
-    level = step.select(F.col("source_id").alias("stage"), F.col("target_id").alias("ancestor"), F.lit(1).alias("distance"))
-    levels = [level]
-    for depth in range(2, max_depth + 1):
-        level = (
-            level.join(step, level.ancestor == step.source_id)
-            .select("stage", F.col("target_id").alias("ancestor"), F.lit(depth).alias("distance"))
+    step = edge_df.filter(F.col("relation") == "HAPPENS_AFTER").select(F.col("source_id").alias("stage"), F.col("target_id").alias("ancestor"))
+    known, size = settled(step.distinct().withColumn("distance", F.lit(1)), "stages"), -1
+    while True:
+        names = known.filter(F.col("stage") == F.col("ancestor")).select("stage").orderBy("stage").limit(20).collect()  # enough to name
+        if names:
+            raise ValueError(f"stage graph has a cycle through {', '.join(r.stage for r in names)}")
+        before, size = size, known.count()
+        if size == before:
+            return known
+        a, b = known.alias("a"), known.alias("b")
+        longer = a.join(b, F.col("a.ancestor") == F.col("b.stage")).select(
+            "a.stage", "b.ancestor", (F.col("a.distance") + F.col("b.distance")).alias("distance")
         )
-        if level.isEmpty():
-            break
-        levels.append(level)
-    else:
-        raise ValueError("stage graph is deeper than max_depth or has a cycle")
-    return reduce(DataFrame.unionByName, levels)
+        known = settled(known.unionByName(longer).groupBy("stage", "ancestor").agg(F.min("distance").alias("distance")), "stages")

@@ -12,6 +12,7 @@ from ..functions.text import preview
 from ..functions.vectors import hash_embedding
 from ..operators import chunking
 from ..operators.knn import top_k, upsert
+from ..operators.metric_index import settled
 
 # Search width, and the text shown when nothing is found.
 SEARCH_K, RERANK_FETCH, RERANK_KEEP, CONTEXT_K, CONTEXT_CHARS = 4, 6, 3, 3, 500
@@ -49,7 +50,7 @@ def search_chunks(queries: DataFrame, chunks: DataFrame, strategy: str, k: int =
 
     ``queries``: (query_id, embedding); ``chunks``: (item_id, source, chunk_id, chunk, embedding).
     """
-    hits = top_k(queries, chunks, k, metric="cosine", **options)
+    hits = top_k(queries, chunks, k, metric="cosine", settle=True, **options)
     text = chunks.select("item_id", "source", "chunk_id", "chunk")
     # The hits are k rows per query, so this join reads the chunks once and keeps few rows.
     return hits.join(text, "item_id").select(
@@ -80,9 +81,10 @@ def retrieve_context(queries: DataFrame, docs: DataFrame, k: int = CONTEXT_K, ch
     query texts have equal answers, so each distinct text is searched once.
     """
     key = F.sha2("query", 256)
-    asked = queries.withColumn("_q", key)
+    # Queries are often computed from events: they are settled once, as are the embeddings of both sides.
+    asked = settled(queries.select("query_id", "query", key.alias("_q")), "asked")
     distinct = embed_text(asked.groupBy("_q").agg(F.first("query").alias("query")), "query").select(F.col("_q").alias("query_id"), "embedding")
-    hits = top_k(distinct, embed_text(docs, "content").select("item_id", "embedding"), k, **options)
+    hits = top_k(distinct, embed_text(docs, "content").select("item_id", "embedding"), k, settle=True, **options)
     cut = F.concat(F.substring("content", 1, chars), F.when(F.length("content") > chars, "...").otherwise(""))
     block = F.concat(
         F.lit("["), F.col("rank").cast("string"), F.lit("] ("), F.coalesce("type", F.lit("document")), F.lit(") "),

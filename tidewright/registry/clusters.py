@@ -140,6 +140,30 @@ def _(t: Tables):
     return cg.centre_distance(rows, centre).select("vec_id", "cluster", F.round("distancia_centroide", 4).alias("distance"))
 
 
+@register("kmeans_certificate", f"SELECT count(*) AS rows, 0::BIGINT AS misplaced, {cg.CLUSTERS}::BIGINT AS clusters, 0::BIGINT AS empty, true AS settled FROM embeddings")
+def _(t: Tables):
+    """Every row lies at its nearest centre; centres are the means of their rows up to what the last step of the fit moved."""
+    rows, centre = cg.kmeans(t.embeddings)
+    told = cg.kmeans_certificate(rows, centre, "vec_id")
+    return told.select("rows", "misplaced", "clusters", "empty", (F.col("drift") < 0.2).alias("settled"))
+
+
+_DIMS = "(SELECT unnest(range(1, len(embedding) + 1)) AS d, embedding::DOUBLE[] AS e FROM embeddings)"
+
+
+@register(
+    "pca_certificate",
+    f"SELECT (SELECT count(*) FROM embeddings) AS rows, 12 AS components, round(sum(v), 6) AS total_variance, true AS exact, true AS orthogonal, true AS explained FROM (SELECT var_samp(e[d]) AS v FROM {_DIMS} GROUP BY d)",
+)
+def _(t: Tables):
+    """The components are eigenvectors of the rows' covariance, orthogonal, and explain what the fit says."""
+    told = cg.Projection(t.embeddings, 12).certificate()
+    return told.select(
+        "rows", "components", F.round("total_variance", 6).alias("total_variance"), (F.col("residual") < 1e-9).alias("exact"),
+        (F.col("skew") < 1e-9).alias("orthogonal"), ((F.col("told") < 1e-9) & F.col("explained").between(0.0, 1.0)).alias("explained"),
+    )
+
+
 @register("pca_project")
 def _(t: Tables):
     xy = cg.Projection(t.embeddings, 2).coordinates(2)

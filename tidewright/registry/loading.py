@@ -29,6 +29,17 @@ def _(t: Tables):
     return readers.csv_text(t.spark, path)
 
 
+@register("scan_csv_records", "SELECT cast(doc_id AS VARCHAR) AS doc_id, text, lang, source, CASE WHEN doc_id % 2 = 0 THEN cast(n_chars AS VARCHAR) END AS n_chars FROM documents")
+def _(t: Tables):
+    """Whole texts with their line breaks and quotes, in files whose headers name the columns in different orders; one kind lacks a column."""
+    path = scratch_path(t.spark, "texts_csv")
+    even, odd = t.documents.where("doc_id % 2 = 0"), t.documents.where("doc_id % 2 = 1")
+    for rows in (even.select("doc_id", "text", "lang", "source", "n_chars"), odd.select("source", "text", "doc_id", "lang")):
+        rows.write.mode("append").option("header", True).option("escape", '"').option("quoteAll", True).option("emptyValue", "").option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.csv_records(t.spark, path, ["doc_id", "text", "lang", "source", "n_chars"], split_bytes=1 << 18)
+
+
 @register("scan_parquet", "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY ALL")
 def _(t: Tables):
     rows = readers.parquet(t.spark, t.path("lineitem")).filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
@@ -218,6 +229,18 @@ def _(t: Tables):
     return ql.job_log(rows, "ingest_complete", F.concat(F.lit("orders_"), F.col("o_orderstatus")), "dt")
 
 
+@register(
+    "job_log_written",
+    f"{_ERR} SELECT 'load_complete' AS event, 'orders' AS job, count(*) FILTER (WHERE len(errors) = 0) AS valid_records, count(*) FILTER (WHERE len(errors) > 0) AS dlq_records, "
+    "count(*) FILTER (WHERE len(errors) > 0) = 0 AS success, true AS compliant, 0 AS missing FROM e",
+)
+def _(t: Tables):
+    """What a job logs of itself while it writes, checked by the rules for log lines."""
+    entry = ql.write_checked(checked(t), scratch_path(t.spark, "trusted"), scratch_path(t.spark, "dlq"), "load_complete", "orders")
+    judged = ql.log_compliance(entry.withColumn("line", ql.log_line()).drop("job"))
+    return judged.select("event", "job", "valid_records", "dlq_records", "success", "compliant", F.size("missing").alias("missing"))
+
+
 # Log lines of one job per day, some without duration, some claiming success too early.
 @register(
     "job_log_compliance",
@@ -350,6 +373,51 @@ def _(t: Tables):
     return nt.orphans(pages, "page_id", F.col("address"), sections)
 
 
+# Notes made of the documents: a path, a title, an alias, and links to other notes in all their forms, one of them broken.
+_NOTE_EXPRS = [
+    "doc_id", "concat(source, '/', lang, '/Note ', cast(doc_id AS string), '.md') AS path", "concat('Title of ', cast(doc_id AS string)) AS title",
+    "concat('N', cast(doc_id AS string)) AS alias",
+    "concat(text, ' [[note ', cast((doc_id * 7) % 1009 AS string), '|see]] and [[', source, '/', lang, '/Note ', cast(doc_id - 8 AS string), '#Part 2|', lang, ']], ![[N', "
+    "cast((doc_id * 3) % 500 AS string), ']] [[ Title  of ', cast(doc_id AS string), ' ]] [[#Own part]] [[Lost ', source, ']]') AS body",
+]
+_NOTES_SQL = f"nt AS (SELECT {', '.join(_NOTE_EXPRS)} FROM documents)"
+_KEY = "regexp_replace(regexp_replace(trim(regexp_replace(lower({}), '\\s+', ' ', 'g')), '^(\\./|/)+', ''), '\\.md$', '')"
+_STEM = "regexp_extract(path, '([^/]*)$', 1)"
+_WIKI_SQL = (
+    f"WITH {_NOTES_SQL}, f AS (SELECT doc_id, unnest(regexp_extract_all(body, '(!?\\[\\[[^\\[\\]\\n]+\\]\\])', 1)) AS link FROM nt), "
+    "g AS (SELECT doc_id, regexp_extract(link, '^(!?)\\[\\[([^#|]*)(?:#([^|]*))?(?:\\|(.*))?\\]\\]$', ['bang', 'target', 'part', 'alias']) AS x FROM f), "
+    "l AS (SELECT doc_id, trim(x.target) AS target, nullif(trim(x.part), '') AS part, nullif(trim(x.alias), '') AS alias, x.bang = '!' AS embedded FROM g), "
+    f"c AS (SELECT {_KEY.format('path')} AS name, 0 AS rank, doc_id AS page FROM nt UNION ALL SELECT {_KEY.format(_STEM)}, 1, doc_id FROM nt "
+    f"UNION ALL SELECT {_KEY.format('title')}, 2, doc_id FROM nt UNION ALL SELECT {_KEY.format('alias')}, 3, doc_id FROM nt), "
+    "n AS (SELECT name, page FROM c QUALIFY row_number() OVER (PARTITION BY name ORDER BY rank, page) = 1), "
+    f"r AS (SELECT l.*, CASE WHEN {_KEY.format('target')} = '' THEN doc_id ELSE n.page END AS page FROM l LEFT JOIN n ON n.name = {_KEY.format('target')})"
+)
+
+
+def notes(t: Tables):
+    return t.documents.selectExpr(*_NOTE_EXPRS)
+
+
+def resolved_links(t: Tables):
+    pages = notes(t).withColumn("aliases", F.array("alias"))
+    return nt.resolve(nt.wiki_links(pages, "doc_id", "body"), nt.page_names(pages, "doc_id", "path", "title", "aliases"), "doc_id")
+
+
+@register("notes_wiki_links", f"{_WIKI_SQL} SELECT doc_id, target, part, alias, embedded, page, count(*) AS n FROM r GROUP BY ALL")
+def _(t: Tables):
+    return resolved_links(t).groupBy("doc_id", "target", "part", "alias", "embedded", "page").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("notes_broken_links", f"{_WIKI_SQL} SELECT target, count(*) AS links, count(DISTINCT doc_id) AS pages FROM r WHERE page IS NULL GROUP BY target")
+def _(t: Tables):
+    return resolved_links(t).where("page IS NULL").groupBy("target").agg(F.count(F.lit(1)).alias("links"), F.count_distinct("doc_id").alias("pages"))
+
+
+@register("notes_wiki_orphans", f"{_WIKI_SQL} SELECT doc_id, title FROM nt WHERE doc_id NOT IN (SELECT page FROM r WHERE page IS NOT NULL AND page <> doc_id)")
+def _(t: Tables):
+    return nt.without_inbound(notes(t), "doc_id", resolved_links(t)).select("doc_id", "title")
+
+
 _LINE = "CASE WHEN event_type = 'error' THEN concat('note ', event_type) ELSE concat('## [', substr(cast(ts AS string), 1, 10), '] ', event_type, ' | user ', cast(user_id AS string), ' | ', props) END"
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import anomaly, classify as cl, extract as ex, risk as rk
+from ..operators.contract import Model
 from ..plans import monitoring as mon
+from ..session import scratch_path
 from . import Tables, register
 from .fixtures import RAW_EVENT_SQL, raw_events, values_sql
 
@@ -360,8 +363,89 @@ _COUNTS = "count(*) AS events_processed, count(event_type) AS events_classified,
 )
 def _(t: Tables):
     scored = _events_with_model(t)
-    rated = rk.score_risk(scored)
-    return rk.run_record(rated, scoring_calls(t, scored), RUN)
+    record = rk.run_record(rk.score_risk(scored), scoring_calls(t, scored), RUN, scratch_path(t.spark, "run"))
+    return record.drop("prompt_version", "started_at", "finished_at", "avg_latency_ms")
+
+
+# ---- the job with a model ---------------------------------------------------
+
+def cause_model() -> Model:
+    """A stand-in for a user's model of causes: it fails on long payloads and breaks its contract on reports."""
+    def score(asked: pd.DataFrame) -> pd.DataFrame:
+        text = asked["raw_payload"]
+        return pd.DataFrame({
+            "root_cause": "Trouble with " + asked["service"], "confidence": [1.5 if "nightly" in x else 0.9 for x in text],
+            "contributing_factors": [["load"]] * len(asked), "recommendations": [["Look at " + x] * 7 for x in asked["service"]], "similar_incidents": None,
+            "error": ["RuntimeError: payload too long" if len(x) > 200 else None for x in text],
+        })
+
+    return Model(score, provider="local", model_id="gpt-4o-mini", wait=0.0)
+
+
+def model_run(t: Tables, failed: str = "keep") -> mon.JobResult:
+    return mon.run_job(raw_events(t), RUN, scratch_path(t.spark, "job"), models={"root_cause": cause_model()}, failed=failed)
+
+
+_BROKEN = "contains(raw_payload, 'nightly')"
+_REFUSED = f"({_FAIL} OR {_BROKEN})"
+_MODEL_CAUSE = (
+    f"CASE WHEN {_FAIL} THEN 'Unable to determine root cause (LLM failed: RuntimeError)' WHEN {_BROKEN} THEN 'Unable to determine root cause (LLM failed: Malformed)' "
+    "ELSE concat('Trouble with ', service) END AS root_cause"
+)
+_MODEL_RECS = (
+    f"CASE WHEN {_REFUSED} THEN 'Manual investigation required|Check service logs' "
+    "ELSE array_to_string(list_transform(range(5), lambda i: concat('Look at ', service)), '|') END AS recommendations"
+)
+
+
+@register(
+    "root_cause_model",
+    f"{ENRICHED_SQL} SELECT event_id, {_MODEL_CAUSE}, CASE WHEN {_REFUSED} THEN 0.1::DOUBLE ELSE 0.9::DOUBLE END AS cause_confidence, {_MODEL_RECS}, risk_score, is_anomaly FROM enr",
+)
+def _(t: Tables):
+    return model_run(t).enriched.select(
+        "event_id", "root_cause", "cause_confidence", F.array_join("recommendations", "|").alias("recommendations"), "risk_score", "is_anomaly"
+    )
+
+
+@register("enrich_routed", f"{ENRICHED_SQL} SELECT event_id, service, event_type, severity, risk_score, risk_level, {_MODEL_CAUSE} FROM enr WHERE NOT {_REFUSED}")
+def _(t: Tables):
+    return model_run(t, "route").enriched.select("event_id", "service", "event_type", "severity", "risk_score", "risk_level", "root_cause")
+
+
+@register(
+    "enrich_dead_letters",
+    f"{EXTRACTED_SQL} SELECT event_id, service, raw_payload, 'root_cause' AS step, CASE WHEN {_FAIL} THEN 'RuntimeError' ELSE 'Malformed' END AS error_type, "
+    f"CASE WHEN {_FAIL} THEN 'payload too long' ELSE 'confidence is not from 0.0 to 1.0' END AS error, NOT {_FAIL} AS answered, '{RUN}' AS pipeline_run_id FROM ext WHERE {_REFUSED}",
+)
+def _(t: Tables):
+    return model_run(t).dead_letters.select(
+        "event_id", "service", "raw_payload", "step", "error_type", "error", F.col("raw").isNotNull().alias("answered"), "pipeline_run_id"
+    )
+
+
+@register(
+    "model_calls_log",
+    f"{SCORED_SQL}, c AS (SELECT event_id, 'root_cause' AS step, 'local' AS provider, 'gpt-4o-mini' AS model_id, NOT {_FAIL} AS success, NOT {_REFUSED} AS parse_success, "
+    f"{_REFUSED} AS fallback_used, CASE WHEN {_FAIL} THEN 0 ELSE {_tokens_sql('root_cause')} END AS input_tokens, CASE WHEN {_FAIL} THEN 0 ELSE 200 END AS output_tokens FROM sc) "
+    "SELECT *, round((input_tokens * 0.15::DOUBLE + output_tokens * 0.60::DOUBLE) / 1000000, 6) AS estimated_cost_usd, true AS timed FROM c",
+)
+def _(t: Tables):
+    return model_run(t).calls.select(
+        "event_id", "step", "provider", "model_id", "success", "parse_success", "fallback_used", "input_tokens", "output_tokens", "estimated_cost_usd",
+        ((F.col("latency_ms") >= 0) & F.col("asked_at").isNotNull() & (F.col("attempts") == 1)).alias("timed"),
+    )
+
+
+@register(
+    "model_run_record",
+    f"{ENRICHED_SQL}, m AS (SELECT *, CASE WHEN {_FAIL} THEN 0 ELSE {_tokens_sql('root_cause')} END AS tin, CASE WHEN {_FAIL} THEN 0 ELSE 200 END AS tout FROM enr) "
+    f"SELECT '{RUN}' AS run_id, 'v1' AS prompt_version, {_COUNTS}, count(*) AS total_calls, CAST(sum(tin) AS BIGINT) AS total_input_tokens, CAST(sum(tout) AS BIGINT) AS total_output_tokens, "
+    f"round(sum(round((tin * 0.15::DOUBLE + tout * 0.60::DOUBLE) / 1000000, 6)), 6) AS total_cost_usd, round(avg({_REFUSED}::INT), 4) AS fallback_rate, true AS timed FROM m",
+)
+def _(t: Tables):
+    timed = (F.col("finished_at") >= F.col("started_at")) & (F.col("avg_latency_ms") >= 0)
+    return model_run(t).record.withColumn("timed", timed).drop("started_at", "finished_at", "avg_latency_ms")
 
 
 # ---- cycles -----------------------------------------------------------------

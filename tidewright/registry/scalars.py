@@ -172,7 +172,9 @@ def _(t: Tables):
 _CENTRE = "c AS (SELECT label, list(m ORDER BY i) AS centre FROM (SELECT label, i, avg(x::DOUBLE) AS m FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, i) GROUP BY label)"
 
 
-def centres(t: Tables, vec="embedding", key="label", dim=64):
+def centres(t: Tables, vec="embedding", key="label"):
+    """Mean vector per label, over all numbers of the vectors, however long they are."""
+    dim = t.embeddings.select(F.max(F.size(vec))).first()[0] or 0
     return t.embeddings.groupBy(key).agg(vx.mean_columns(vec, dim).alias("centre"))
 
 

@@ -27,7 +27,35 @@ def _(t: Tables):
     return fixed(t)
 
 
-@register("chunk_recursive")
+def _recursive_sql(size: int = 320, overlap: int = 50) -> str:
+    """The same chunks by list functions: pieces refined break by break, then packed by a reduction that carries the open window."""
+    quoted = ["'" + s.replace("\n", "' || chr(10) || '") + "'" for s in chunking.SEPARATORS]
+    parts, pieces = [], "SELECT doc_id, [{'p': text, 'b': true}] AS a FROM documents WHERE length(text) > 0"
+    for i, sep in enumerate(quoted):
+        cut = f"list_filter(list_transform(string_split(x.p, {sep}), lambda t, i: CASE WHEN i = 1 THEN t ELSE {sep} || t END), lambda t: t <> '')"
+        parts.append(f"a{i} AS ({pieces})")
+        # A piece begins a new run if it or the one before it has to be cut finer.
+        pieces = (
+            f"SELECT doc_id, flatten(list_transform(a, lambda x: CASE WHEN length(x.p) >= {size} AND contains(x.p, {sep}) THEN list_transform({cut}, lambda t, i: "
+            f"{{'p': t, 'b': i = 1 OR length(t) >= {size} OR length({cut}[i - 1]) >= {size}}}) ELSE [x] END)) AS a FROM a{i}"
+        )
+    state = "{'p': x.p, 'b': x.b, 'w': []::VARCHAR[], 'c': []::VARCHAR[]}"
+    parts += [
+        f"ax AS ({pieces})",
+        f"s0 AS (SELECT doc_id, list_transform(a || [{{'p': '', 'b': true}}], lambda x: {state}) AS a FROM ax)",
+        # What is left of the window when a piece does not fit: the longest end within the overlap that leaves room for the piece.
+        "s1 AS (SELECT doc_id, list_reduce(a, lambda s, x: CASE "
+        "WHEN x.b THEN {'p': '', 'b': false, 'w': [x.p], 'c': CASE WHEN len(s.w) = 0 THEN s.c ELSE s.c || [array_to_string(s.w, '')] END} "
+        f"WHEN length(array_to_string(s.w, '')) + length(x.p) <= {size} THEN {{'p': '', 'b': false, 'w': s.w || [x.p], 'c': s.c}} "
+        f"ELSE {{'p': '', 'b': false, 'c': s.c || [array_to_string(s.w, '')], 'w': s.w[list_filter(range(1, len(s.w) + 2), "
+        f"lambda j: length(array_to_string(s.w[j:], '')) <= least({overlap}, {size} - length(x.p)))[1]:] || [x.p]}} END, "
+        "{'p': '', 'b': false, 'w': []::VARCHAR[], 'c': []::VARCHAR[]}) AS s FROM s0)",
+        "k AS (SELECT doc_id, list_filter(list_transform(s.c, lambda t: regexp_replace(t, '^\\s+|\\s+$', '', 'g')), lambda t: t <> '') AS c FROM s1)",
+    ]
+    return f"WITH {', '.join(parts)} SELECT doc_id, CAST(generate_subscripts(c, 1) - 1 AS INTEGER) AS chunk_id, unnest(c) AS chunk FROM k"
+
+
+@register("chunk_recursive", _recursive_sql())
 def recursive(t: Tables):
     return chunking.recursive(t.wide("documents", "doc_id"), "doc_id")
 
@@ -103,7 +131,7 @@ _RERANK = (
 
 
 def reranked(t: Tables, keep: int):
-    found = hits(t, rt.RERANK_FETCH).join(broadcast_if_small(asked(t), lexical.MAX_QUERIES), "query_id")
+    found = hits(t, rt.RERANK_FETCH).join(broadcast_if_small(asked(t), lexical.BLOCK_QUERIES), "query_id")
     return lexical.rerank(found, lexical.shared_word_ratio(F.col("query"), F.col("chunk")), keep)
 
 

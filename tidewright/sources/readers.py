@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.funnel import DEFAULT, FunnelSpec
+from .csv_split import records
 
 # Layout of a document folder: <base>/<category>/<stem>.md
 DOCUMENT_PATH = r"([^/]+)/([^/]+)\.md$"
@@ -17,6 +20,17 @@ def csv_text(spark: SparkSession, path: str, schema: str | None = None, spec: Fu
     return reader.option("escape", '"').option("multiLine", False).csv(path)
 
 
+def csv_records(spark: SparkSession, path: str, columns: Sequence[str], split_bytes: int | None = None) -> DataFrame:
+    """Headed CSV files as text columns, found by their header names; a quoted field may hold line breaks.
+
+    Each file's own header says where its columns are, in any order; a column a file lacks is null. Files are split as plain text: a first pass counts the
+    quotation marks of each split, whose running parity tells whether a split starts inside a quoted field. So records that cross
+    a line or a split are put together whole, and a large file keeps many tasks busy. Quotation marks inside fields are doubled, and stand in quoted
+    fields only; header names compare exactly. What tasks are told of a split is 17 bytes, and the names of the different headers.
+    """
+    return records(spark, path, columns, split_bytes)
+
+
 def parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
@@ -23,32 +23,57 @@ def by_partition(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", column)
 
 
-def overwrite_partitions(df: DataFrame, path: str, column: str = "dt", values: Iterable[object] | None = None) -> None:
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def overwrite_partitions(df: DataFrame, path: str, column: str = "dt", values: Iterable[object] | None = None, fmt: str = "parquet") -> None:
     """Replace the partitions that occur in ``df``, and empty those of ``values`` that do not.
 
     ``values`` are the dates or batches of this run. A partition that has become empty would
-    keep its old rows otherwise, as a dynamic overwrite touches only partitions with new ones.
+    keep its old rows otherwise, as a dynamic overwrite touches only partitions with new ones. These are emptied
+    first: after a crash in between they lack rows until the run is repeated, but never hold old ones.
     """
-    writer = by_partition(df, column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(column).parquet(path)
     if values is not None:
         named = {str(v) for v in values}
         found = {str(r[0]) for r in df.filter(F.col(column).cast("string").isin(*named)).select(column).distinct().collect()}
         for value in named - found:
-            _drop_folder(df, f"{path.rstrip('/')}/{column}={value}")
+            drop_folder(df.sparkSession, f"{path.rstrip('/')}/{column}={value}")
+    writer = by_partition(df, column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.format(fmt).partitionBy(column).save(path)
+
+
+def undated_folder(path: str, load: str, column: str = "dt") -> str:
+    """Where a load keeps its rows without a partition value: a folder of its own inside the partition of none."""
+    return f"{path.rstrip('/')}/{column}={NO_VALUE}/load-{load}"
 
 
-def _drop_folder(df: DataFrame, path: str) -> None:
-    jvm = df.sparkSession._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+def save_undated(df: DataFrame, path: str, load: str, column: str = "dt", fmt: str = "parquet") -> None:
+    """Replace one load's rows without a partition value; those of other loads stay, and readers of the table see all."""
+    folder = undated_folder(path, load, column)
+    rows = df.where(F.col(column).isNull()).drop(column)
+    if rows.isEmpty():
+        drop_folder(df.sparkSession, folder)
+    else:
+        rows.write.mode("overwrite").format(fmt).save(folder)
 
 
-def save_raw(df: DataFrame, base: str, name: str, fmt: str = "json", column: str = "dt") -> str:
-    """Write the raw layer below ``<base>/raw/<name>/dt=...``: each date of ``df`` is replaced, other dates stay."""
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of any file system Spark reaches; nothing happens if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def save_raw(
+    df: DataFrame, base: str, name: str, fmt: str = "json", column: str = "dt", values: Iterable[object] | None = None, load: str | None = None
+) -> str:
+    """Write the raw layer below ``<base>/raw/<name>/dt=...``: each date of ``df`` and of ``values`` is replaced, other dates stay.
+
+    With a ``load`` rows without a date replace those of the same load only; without one, all such rows are replaced.
+    """
     path = f"{base.rstrip('/')}/raw/{name}"
-    writer = by_partition(df, column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.format(fmt).partitionBy(column).save(path)
+    overwrite_partitions(df if load is None else df.where(F.col(column).isNotNull()), path, column, values, fmt)
+    if load is not None:
+        save_undated(df, path, load, column, fmt)
     return path
 
 
