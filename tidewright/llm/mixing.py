@@ -11,19 +11,27 @@ makes targets from the table itself: shares of tokens to a power below 1, which
 
 Cases: null sources and languages are values of their own. Empty and null texts hold no tokens and are in cells of their own
 if need be; cells without tokens are never sampled away: probability 1, as they weigh nothing. Rows equal in id and text are
-taken or left together. An empty table gives an empty result. Only the named columns of the input are used. Cells are rows of a table and are
-raked by Spark, however many there are.
+taken or left together. An empty table gives an empty result. Only the named columns of the input are used, and columns of any other names may
+be there. Targets that can't be met, as cells are too small for them, are told: ``rake`` gives ``gap``, the distance left.
+
+Cells are counted first. Up to ``GATHERED`` of them, some tens of megabytes at most, one task rakes their sums in a single job. More of them are
+raked as a table, a few rounds per job. Both do the same steps and stop by the same rule.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, unit
+from .common import free_name, store, unit
 
 DIMENSIONS = ("source", "lang", "topic")
 TOLERANCE, ROUNDS, PER_STEP = 1e-3, 60, 6
+GATHERED = 200_000
 
 
 def topic_of(text: Column) -> Column:
@@ -65,18 +73,48 @@ def _goals(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> Da
         there = there.alias("t").join(known.alias("k"), F.col("t.value").eqNullSafe(F.col("k.value")), "left").select(
             F.col("t.value").alias("_value"), F.coalesce("k.share", F.lit(0.0)).alias("_share")
         )
-        total = there.agg(F.sum("_share").alias("s")).first()["s"] or 0.0  # one number
-        goal = F.col("_share") * (budget / total if total else 0.0)
+        total = there.select(F.coalesce(F.sum("_share"), F.lit(0.0)).alias("s")).scalar()
+        goal = F.when(total > 0, F.col("_share") * (F.lit(float(budget)) / total)).otherwise(0.0)
         cells = cells.join(
             there.select("_value", goal.alias(f"goal_{d}")), F.col(d).eqNullSafe(F.col("_value")), "left"
         ).drop("_value")
     return cells
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> DataFrame:
-    """The cells (source, lang, topic, tokens) with ``weight``: tokens to take of each."""
-    state = store(_goals(cells, targets, budget).withColumn("weight", F.col("tokens").cast("double")), "rake")
-    before = None
+def _settled(before: float | None, off: float) -> bool:
+    """Whether raking ends: the targets are met, or a step of rounds has hardly changed the distance."""
+    return off <= TOLERANCE or (before is not None and abs(before - off) <= TOLERANCE * 0.1)
+
+
+def _rake_gathered(cells: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All steps on the cells of one task."""
+    parts = [c for c in cells if len(c)]
+    if not parts:
+        return
+    rows = pd.concat(parts, ignore_index=True)
+    tokens = rows["tokens"].to_numpy(float)
+    value = [pd.factorize(rows[d], use_na_sentinel=False)[0] for d in DIMENSIONS]
+    goals = [rows[f"goal_{d}"].to_numpy(float) for d in DIMENSIONS]  # null (no tokens): not a number, and so is the scaled weight
+    weight, gap = tokens.copy(), None
+    for _ in range(0, ROUNDS, PER_STEP):
+        for _ in range(PER_STEP):
+            for v, goal in zip(value, goals):
+                sums = np.bincount(v, weight)[v]
+                scaled = np.divide(weight * goal, sums, out=np.zeros_like(weight), where=sums > 0)
+                weight = np.minimum(np.nan_to_num(scaled), tokens)
+        before, gap, total, there = gap, 0.0, weight.sum(), tokens > 0
+        for v, goal in zip(value, goals):
+            sums = np.bincount(v[there], weight[there], minlength=v.max() + 1)[v[there]]
+            gap = max(gap, float(np.abs(sums - goal[there]).max(initial=0.0)))
+        gap = gap / total if total else 0.0
+        if _settled(before, gap):
+            break
+    yield rows[[*DIMENSIONS, "tokens"]].assign(weight=weight, gap=gap)
+
+
+def _rake_table(cells: DataFrame) -> DataFrame:
+    """All steps as joins with the sums of each dimension; a round is one stored table, so plans stay short."""
+    state, before, off = cells.withColumn("weight", F.col("tokens").cast("double")), None, 0.0
     for _ in range(0, ROUNDS, PER_STEP):
         for _ in range(PER_STEP):
             for d in DIMENSIONS:
@@ -85,27 +123,38 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> Data
                 state = state.join(sums, F.col(d).eqNullSafe(F.col("_value"))).withColumn(
                     "weight", F.least(F.coalesce(scaled, F.lit(0.0)), F.col("tokens").cast("double"))
                 ).drop("_value", "_sum")
-            # Short plans: what one round leaves is a table.
             state = store(state, "rake")
         off = worst_gap(state)
-        if off <= TOLERANCE or (before is not None and abs(before - off) <= TOLERANCE * 0.1):
+        if _settled(before, off):
             break
         before = off
-    return state.select(*DIMENSIONS, "tokens", "weight")
+    return state.select(*DIMENSIONS, "tokens", "weight", F.lit(off).alias("gap"))
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, gathered: int = GATHERED) -> DataFrame:
+    """The cells (source, lang, topic, tokens) with ``weight``, tokens to take of each, and ``gap``.
+
+    ``gap`` is one number: the largest distance of a value's sum from its goal, as a share of all weights; above ``TOLERANCE`` the targets can't be met.
+    """
+    state = store(_goals(cells.select(*DIMENSIONS, F.col("tokens").cast("long").alias("tokens")), targets, budget), "rake")
+    if state.count() > gathered:
+        return _rake_table(state)
+    schema = ", ".join(f"{d} string" for d in DIMENSIONS) + ", tokens long, weight double, gap double"
+    return store(state.coalesce(1).mapInPandas(_rake_gathered, schema), "raked")
 
 
 def worst_gap(state: DataFrame) -> float:
-    """Largest distance of a value's sum from its goal, as a share of all."""
-    gaps = []
-    total = state.agg(F.sum("weight").alias("w")).first()["w"] or 0.0
+    """Largest distance of a value's sum from its goal, as a share of all: one job for all dimensions."""
+    gaps = None
     for d in DIMENSIONS:
-        by = state.where("tokens > 0").groupBy(d).agg(F.abs(F.sum("weight") - F.max(f"goal_{d}")).alias("gap"))
-        gaps.append(by.agg(F.max("gap").alias("g")).first()["g"] or 0.0)  # one number
-    return max(gaps) / total if total else 0.0
+        by = state.where("tokens > 0").groupBy(d).agg(F.abs(F.sum("weight") - F.max(f"goal_{d}")).alias("gap")).select("gap")
+        gaps = by if gaps is None else gaps.unionByName(by)
+    total = state.select(F.sum("weight")).scalar()
+    return gaps.agg((F.max("gap") / F.when(total > 0, total)).alias("g")).first()["g"] or 0.0  # one number
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: dict[str, float] | None = None, share: float = 0.5, seed: int = 7) -> DataFrame:
-    """doc_id, text_hash, source, lang, topic, tokens, weight (of its cell), probability, sampled.
+    """doc_id, text_hash, source, lang, topic, tokens, weight (of its cell), gap (of the whole raking), probability, sampled.
 
     ``share`` of all tokens is aimed at; where cells are too small for their targets, less comes out.
     """
@@ -114,7 +163,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: di
     powers = powers or {"source": 0.5, "lang": 0.7, "topic": 0.7}
     aims = targets or {d: smoothed(cells, d, powers[d]) for d in DIMENSIONS}
     total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0
-    weights = rake(cells, aims, total * share).select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], F.col("tokens").alias("_tokens"), "weight")
+    weights = rake(cells, aims, total * share).select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], F.col("tokens").alias("_tokens"), "weight", "gap")
     same = None
     for d in DIMENSIONS:
         one = F.col(d).eqNullSafe(F.col(f"_{d}"))
@@ -123,19 +172,20 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: di
     return (
         rows.join(weights, same, "left").withColumn("probability", chance)
         .withColumn("sampled", unit("doc_id", "text_hash", seed=seed) < F.col("probability"))
-        .select("doc_id", "text_hash", *DIMENSIONS, "tokens", "weight", "probability", "sampled")
+        .select("doc_id", "text_hash", *DIMENSIONS, "tokens", "weight", "gap", "probability", "sampled")
     )
 
 
 def sample(docs: DataFrame, **how) -> DataFrame:
     """The sampled documents, judged row by row from their cell: texts are not shuffled where the cells are few."""
-    chances = store(mix(docs, **how).groupBy(*DIMENSIONS).agg(F.max("probability").alias("_chance")), "mix-chances").select(
-        *[F.col(d).alias(f"_{d}") for d in DIMENSIONS], "_chance"
-    )
-    keyed = docs.withColumn("_own", topic_of(F.col("text")))
+    own = free_name(docs, "own_topic")
+    names = {d: free_name(docs, f"cell_{d}") for d in DIMENSIONS} | {"chance": free_name(docs, "cell_chance")}
+    by_cell = mix(docs, **how).groupBy(*DIMENSIONS).agg(F.max("probability").alias("chance"))
+    chances = store(by_cell, "mix-chances").select(*[F.col(c).alias(n) for c, n in names.items()])
+    keyed = docs.withColumn(own, topic_of(F.col("text")))
     same = (
-        F.col("source").cast("string").eqNullSafe(F.col("_source")) & F.col("lang").cast("string").eqNullSafe(F.col("_lang"))
-        & F.col("_own").eqNullSafe(F.col("_topic"))
+        keyed["source"].cast("string").eqNullSafe(F.col(names["source"])) & keyed["lang"].cast("string").eqNullSafe(F.col(names["lang"]))
+        & F.col(own).eqNullSafe(F.col(names["topic"]))
     )
-    drawn = unit(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")), seed=how.get("seed", 7))
-    return keyed.join(chances, same).where(drawn < F.col("_chance")).select(*docs.columns)
+    drawn = unit(keyed["doc_id"].cast("long"), F.xxhash64(keyed["text"].cast("string")), seed=how.get("seed", 7))
+    return keyed.join(chances, same).where(drawn < F.col(names["chance"])).select(*docs.columns)
