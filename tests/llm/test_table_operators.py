@@ -39,15 +39,50 @@ def test_shards_are_even_and_keep_groups(spark, n, shards):
     for r in got:
         raw = (text[r.doc_id] or "").encode()
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
-    if n > 100:  # far fewer links are cut than by chance, although a third of all is one group and no shard has room to spare
-        members = {}
+    if n > 100:  # the hot group of a third needs three shards of seven, the others stay together
+        spread, members = {}, {}
         for r in got:
+            spread.setdefault(r.text_crc32, set()).add(r.shard)
             members.setdefault(r.text_crc32, []).append(r.shard)
+        assert len(spread[zlib.crc32(b"the hot one")]) <= 4
+        cut = sum(len(v) - 1 for k, v in spread.items() if k != zlib.crc32(b"the hot one"))
+        assert cut <= 6
         together = sum(c * (c - 1) for m in members.values() for c in Counter(m).values())
         every = sum(len(m) * (len(m) - 1) for m in members.values())
         assert together >= 2 * every / shards
         small = [m for k, m in members.items() if 1 < len(m) < 20]
         assert sum(len(set(m)) == 1 for m in small) >= 0.8 * len(small)
+        assert together >= 0.9 * greedy([len(m) for m in members.values()], len(got), shards)
+
+
+def greedy(sizes, total, shards):
+    """Ordered pairs kept together when groups, the largest first, go into the emptiest shard, cut where it is full."""
+    room, kept = [total // shards + (s < total % shards) for s in range(shards)], 0
+    for n in sorted(sizes, reverse=True):
+        while n:
+            s = max(range(shards), key=room.__getitem__)
+            take = min(n, room[s])
+            room[s] -= take
+            n -= take
+            kept += take * (take - 1)
+    return kept
+
+
+@pytest.mark.parametrize("sizes,base,shards", [([133, 12], 57, 7), ([300], 40, 7), ([9, 9, 9], 10, 3), ([10] * 5, 10, 3)])
+def test_large_groups_fill_whole_shards(sizes, base, shards):
+    pieces, room = sharding._packed(sizes, base, shards)
+    for n, own in zip(sizes, pieces, strict=True):
+        at = 0
+        for lo, hi, _ in own:
+            assert lo == at < hi
+            at = hi
+        assert at <= n
+    used = Counter()
+    for own in pieces:
+        for lo, hi, s in own:
+            used[s] += hi - lo
+    assert [base - used[s] for s in range(shards)] == room and min(room) >= 0
+    assert sum(used.values()) == min(sum(sizes), base * shards)
 
 
 def brute_rake(cells, goals, rounds):
@@ -80,6 +115,33 @@ def test_raking(spark):
             assert abs(sum(w for c, w in got.items() if c[d] == v) - goal) <= 0.02 * total
 
 
+def test_raking_a_table_equals_raking_in_a_task(spark):
+    rng = random.Random(4)
+    cells = [(f"s{i % 7}" if i % 7 else None, f"l{i % 3}", f"t{i % 5}", rng.randrange(0, 500)) for i in range(105)]
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    targets = {d: mixing.smoothed(table, d, 0.5) for d in mixing.DIMENSIONS}
+    one, two = (
+        {(r.source, r.lang, r.topic): (r.weight, r.gap) for r in mixing.rake(table, targets, 9000.0, gathered=n).collect()} for n in (0, 1000)
+    )
+    assert set(one) == set(two) and len(one) == 105
+    for c, (weight, gap) in one.items():
+        assert abs(weight - two[c][0]) < 1e-6 and abs(gap - two[c][1]) < 1e-9
+
+
+def test_targets_that_cannot_be_met_are_told(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 10), ("b", "y", "t", 1000)], "source string, lang string, topic string, tokens long")
+    even = {d: mixing.smoothed(cells, d, 0.0) for d in mixing.DIMENSIONS}
+    assert min(r.gap for r in mixing.rake(cells, even, 900.0).collect()) > 0.1
+
+
+def test_columns_of_any_name_may_be_there(spark):
+    names = ["_chance", "cell_chance", "cell_source", "_source", "own_topic", "_own", "OWN_TOPIC_"]
+    rows = [(i, "a b c " * (i % 5), "en", f"s{i % 2}", *names) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    got = mixing.sample(docs)
+    assert got.columns == docs.columns and {tuple(r)[4:] for r in got.collect()} == {tuple(names)}
+
+
 def test_sampling_follows_the_probabilities(spark):
     rng = random.Random(9)
     rows = [(i, "word " * rng.randrange(1, 60), "en" if i % 5 else None, f"s{i % 4 and 1}", 0, 0) for i in range(3_000)]

@@ -1,11 +1,15 @@
 """Balanced label propagation: linked documents meet in shards of equal document counts.
 
 Law ``rows``: shard sizes differ by one document at most. Links join documents of
-equal text (a null text counts as empty). Labels start from a hash of the id; in
+equal text (a null text counts as empty). Groups that fill half a shard or more are placed
+first, as no label could keep them together: whole empty shards, then the tightest room for the rest.
+There are at most two such groups per shard. The labels of all others start from a hash of the id; in
 each round documents move to the shard with room that holds most of their group,
 as many as its free quota takes. Documents without links fill the shards up at the end,
 so a group is cut only where its shard is full.
 
+Quotas are met by chance, so a few documents too many may come; they are dealt to shards with room at the end.
+
 Cases: repeated rows count one by one; ties fall by hash, then by shard number. Fewer
 documents than shards leave shards empty. An empty table gives an empty result. Only
 the named columns of the input are used. No group is ever gathered: all steps work on
@@ -50,7 +54,42 @@ def _quotas(asked: dict[tuple[int, int], int], room: list[int], n_shards: int) -
     return share, leaving
 
 
-def _propagate(state: DataFrame, n_shards: int, capacity: int, rounds: int) -> DataFrame:
+def _packed(sizes: list[int], base: int, n_shards: int) -> tuple[list[list[tuple[int, int, int]]], list[int]]:
+    """For each large group, descending, the pieces (first rank, end rank, shard) that hold it, and the room left in each shard."""
+    room, pieces = [base] * n_shards, []
+    for n in sizes:
+        at, own = 0, []
+        while at < n:
+            left = n - at
+            fitting = [s for s in range(n_shards) if room[s] >= left]
+            # The tightest shard that holds all that is left, else the emptiest one.
+            s = min(fitting, key=lambda x: (room[x], x)) if fitting else max(range(n_shards), key=lambda x: (room[x], -x))
+            take = min(left, room[s])
+            if not take:
+                break  # all shards are full: the few left over are dealt out at the end
+            own.append((at, at + take, s))
+            room[s] -= take
+            at += take
+        pieces.append(own)
+    return pieces, room
+
+
+def _place_large(linked: DataFrame, base: int, n_shards: int, total: int) -> tuple[DataFrame | None, list[int]]:
+    """Rows of the groups that fill half a shard with their shard, and the room left in each."""
+    large = linked.where(F.col("n_group") * 2 > max(base, 1)).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"))
+    found = sorted((r.asDict() for r in large.collect()), key=lambda r: (-r["n"], r["g1"], r["g2"])) if base else []  # at most 2 per shard
+    if not found:
+        return None, [base] * n_shards
+    pieces, room = _packed([r["n"] for r in found], base, n_shards)
+    cuts = [(r["g1"], r["g2"], r["size"], lo, hi, s) for r, own in zip(found, pieces, strict=True) for lo, hi, s in own]
+    table = linked.sparkSession.createDataFrame(cuts, "g1 long, g2 long, size long, lo long, hi long, shard int")
+    mine = linked.where(F.col("n_group") * 2 > base)
+    ranked = store(rank_in(mine, GROUP, ["doc_id"], total, len(found), "at"), "shard-large")
+    inside = [ranked[g] == table[g] for g in GROUP] + [ranked["at"] >= table["lo"], ranked["at"] < table["hi"]]
+    return ranked.join(F.broadcast(table), inside, "left").select(*[ranked[c] for c in linked.columns], table["shard"]), room
+
+
+def _propagate(state: DataFrame, n_shards: int, capacity: list[int], rounds: int) -> DataFrame:
     """Move the members of groups until nothing moves or ``rounds`` are over."""
     leaving = [1.0] * n_shards
     for turn in range(rounds):
@@ -58,7 +97,7 @@ def _propagate(state: DataFrame, n_shards: int, capacity: int, rounds: int) -> D
         load = dict.fromkeys(range(n_shards), 0) | {  # one number per shard
             r["shard"]: r["n"] for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect()
         }
-        room = [max(0, capacity - load[s]) for s in range(n_shards)]
+        room = [max(0, capacity[s] - load[s]) for s in range(n_shards)]
         # A shard that is full and that nobody leaves takes no one; its group goes on to the next best.
         open_ = lookup([r > 0 or out >= 1 for r, out in zip(room, leaving, strict=True)], F.col("shard"), "boolean")
         wish = F.struct("n", F.xxhash64(*GROUP, "shard", F.lit(3)).alias("tie"), "shard")
@@ -87,21 +126,32 @@ def shard_by_links(docs: DataFrame, n_shards: int = 40, rounds: int = 10) -> Dat
     linked = _linked(docs)
     total = linked.count()
     base, extra = divmod(total, n_shards)
-    state = linked.where("n_group IS NOT NULL").withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(n_shards)).cast("int")
-    )
-    state = _propagate(store(state, "shard-start"), n_shards, base, rounds)
+    large, capacity = _place_large(linked, base, n_shards, total)
+    fixed = store(large, "shard-fixed") if large is not None else linked.limit(0).withColumn("shard", F.lit(0))
+    small = linked.where(F.col("n_group").isNotNull() & ~((F.col("n_group") * 2 > base) & F.lit(large is not None)))
+    starts, seen = [], 0  # a label starts in a shard with a chance in proportion to its room
+    for c in capacity:
+        seen += c
+        starts.append(seen)
+    at = unit("doc_id", seed=7) * float(max(1, seen))
+    first = F.size(F.filter(F.array(*[F.lit(float(e)) for e in starts[:-1]]), lambda e: e <= at)) if n_shards > 1 else F.lit(0)
+    state = _propagate(store(small.withColumn("shard", first.cast("int")), "shard-start"), n_shards, capacity, rounds)
 
-    load = dict.fromkeys(range(n_shards), 0) | {
-        r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()  # one per shard
-    }
+    def per_shard(rows: DataFrame) -> dict[int, int]:  # one number per shard
+        counts = rows.where("shard IS NOT NULL").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()
+        return dict.fromkeys(range(n_shards), 0) | {r["shard"]: r["n"] for r in counts}
+
+    held, moved = per_shard(fixed), per_shard(state)
+    load = {s: held[s] + moved[s] for s in range(n_shards)}
     fullest = sorted(range(n_shards), key=lambda s: (-load[s], s))
     target = [base + (s in set(fullest[:extra])) for s in range(n_shards)]
     order = ["doc_id", "text_crc32", "size"]
     ranked = store(rank_in(state, ["shard"], order, total, n_shards, "at"), "shard-ranked")
-    stays = F.col("at") < lookup(target, F.col("shard"), "long")
+    stays = F.col("at") < lookup([target[s] - held[s] for s in range(n_shards)], F.col("shard"), "long")
     cols = ["doc_id", "size", "text_crc32", "n_group"]
-    pool = ranked.where(~stays).select(*cols).unionByName(linked.where("n_group IS NULL").select(*cols))
+    pool = ranked.where(~stays).select(*cols).unionByName(linked.where("n_group IS NULL").select(*cols)).unionByName(
+        fixed.where("shard IS NULL").select(*cols)
+    )
     missing, ends, seen = [max(0, target[s] - load[s]) for s in range(n_shards)], [], 0
     for m in missing:
         seen += m
@@ -110,7 +160,8 @@ def shard_by_links(docs: DataFrame, n_shards: int = 40, rounds: int = 10) -> Dat
         "shard", F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e <= F.col("at"))).cast("int")
     )
     placed = store(
-        ranked.where(stays).select(*cols, "shard").unionByName(filled.select(*cols, "shard")), "shard-placed"
+        fixed.where("shard IS NOT NULL").select(*cols, "shard").unionByName(ranked.where(stays).select(*cols, "shard"))
+        .unionByName(filled.select(*cols, "shard")), "shard-placed"
     )
     return rank_in(placed, ["shard"], order, total, n_shards, "slot").select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
