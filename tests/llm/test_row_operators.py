@@ -1,6 +1,7 @@
 """Leaks, licences, quality and chat against plain Python."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -21,16 +22,16 @@ def tokens(text):
 def leak_tables(seed=4):
     rng = random.Random(seed)
     line = lambda n: [rng.choice(WORDS) for _ in range(n)]
-    items = [(i, " ".join(line(rng.choice([4, 5, 7, 13, 30])))) for i in range(12)] + [(12, None), (13, ""), (1, "w1 w2 w3 w4 w5 w6")]
+    items = [(i, " ".join(line(n))) for i, n in enumerate([4, 5, 5, 6, 7, 8, 9, 10, 11, 12, 13, 30])] + [(12, None), (13, ""), (1, "w1 w2 w3 w4 w5 w6")]
     docs = [(0, None), (1, ""), (2, "w1")]
-    for i in range(3, 60):
-        words = line(rng.randrange(1, 60))
-        if i % 2:
+    for i in range(3, 160):
+        words = line(rng.randrange(0, 60))
+        if i % 3:
             passage = tokens(rng.choice(items)[1])
-            for k in rng.sample(range(len(passage)), min(len(passage), rng.choice([0, 0, 1, 3, 6]))):
+            for k in rng.sample(range(len(passage)), min(len(passage), rng.choice([0, 1, 1, 2, 3, 6]))):
                 passage[k] = "other"
             at = rng.randrange(len(words) + 1)
-            words[at:at] = passage[rng.choice([0, 0, 2]) :]
+            words[at:at] = passage[rng.choice([0, 0, 1, 2]) : len(passage) - rng.choice([0, 0, 1])]
         docs.append((i, ", ".join(words).title()))
     return docs + [docs[5], docs[5]], items
 
@@ -47,9 +48,7 @@ def brute_leaks(docs, items):
             for offset in range(-len(p) + 1, len(d)):
                 same = [0 <= offset + k < len(d) and d[offset + k] == w for k, w in enumerate(p)]
                 best = max(sum(same[s : s + length]) for s in range(len(p) - length + 1))
-                # Short items are looked up by exact runs, items of nine words or more by masks.
-                enough = best * 13 >= length * 10 if len(p) >= 13 else best == length
-                if enough:
+                if best * 13 >= length * 10:
                     found.add((doc, item))
     return found
 
@@ -72,6 +71,20 @@ def test_every_three_substitutions_are_hit():
         assert any(not {m + s for m in mask} & set(gone) for mask in decontamination.MASKS for s in range(13 - mask[-1]))
 
 
+@pytest.mark.parametrize("n", range(5, 13))
+def test_every_allowed_change_of_a_short_item_is_hit(n):
+    from itertools import combinations
+
+    allowed = n - next(m for m in range(n + 1) if m * 13 >= n * 10)
+    assert decontamination.allowed(n) == allowed
+    masks = decontamination.short_masks(n)
+    if n >= decontamination.LONG_ITEM:
+        masks = [tuple(i + s for i in m) for m in decontamination.MASKS for s in range(n - m[-1])]
+    for gone in combinations(range(n), allowed):
+        assert any(not set(m) & set(gone) for m in masks)
+    assert min(map(len, masks)) >= 3
+
+
 def test_no_leaks_without_rows(spark):
     docs, items = (spark.createDataFrame([], f"{k} long, text string") for k in ("doc_id", "item_id"))
     assert decontamination.leaks(docs, items).count() == 0
@@ -82,14 +95,33 @@ def test_no_leaks_without_rows(spark):
 # --- licences ---------------------------------------------------------------------------------------------------------
 
 
+def brute_templates(words, weights):
+    """(label, share) of every place where two of a template's four rarest words and its key phrase stand."""
+    found = []
+    for label, template, key in license_scan.TEMPLATES:
+        t, key = template.split(), key.split()
+        rare = sorted(set(t), key=lambda w: (-weights[w], w))[:4]
+        shift = next(k for k in range(len(t)) if t[k : k + len(key)] == key)
+        for s in range(-shift, len(words)):
+            same = [0 <= s + k < len(words) and words[s + k] == w for k, w in enumerate(t)]
+            if sum(x for x, w in zip(same, t) if w in rare) >= 2 and words[s + shift : s + shift + len(key)] == key:
+                found.append((label, sum(same) / len(t)))
+    return found
+
+
 def test_licences(spark):
     rng = random.Random(2)
-    phrases = ["GNU General Public License", "apache  LICENSE", "CC-BY", "MIT license.", "License", "gnu", "Released under the MIT License", "licensed under CC BY-NC 4.0", "KK", "İ straße"]
+    phrases = ["GNU General Public License", "apache  LICENSE", "CC-BY", "MIT license.", "License", "gnu", "Released under the MIT License", "licensed under CC BY-NC 4.0", "KK", "İ straße",
+               "this work is licensed under the GNU General Public License version 3", "Permission is hereby granted, free of charge, to any person",
+               "the MIT License", "Licensed under the Apache License, Version 2.0", "mit licen\u017fe", "\u212aind"]
     texts = [None, "", "...", "mit license"] + [" ".join(rng.choice(phrases + WORDS) for _ in range(rng.randrange(1, 40))) for _ in range(60)]
     texts += ["word " * 9_000 + "released under the mit license"]
     docs = spark.createDataFrame([(i, t, "x", [1]) for i, t in enumerate(texts)], "doc_id long, text string, words string, hits array<int>")
     got = {r.doc_id: r for r in license_scan.scan(docs).collect()}
     assert len(got) == len(texts)
+    held = [set(re.findall(license_scan.WORD, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))) for t in texts]
+    vocabulary = {w for _, t, _ in license_scan.TEMPLATES for w in t.split()}
+    weights = {w: math.log((1 + len(texts)) / (1 + sum(w in h for h in held))) for w in vocabulary}
     for i, t in enumerate(texts):
         low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
         w = re.findall(license_scan.WORD, low)
@@ -98,8 +130,9 @@ def test_licences(spark):
         assert (r.n_words, r.n_base, r.base_labels) == (len(w), len(at), ",".join(sorted({x for _, x in at})))
         assert (r.first_word, r.last_word) == ((at[0][0], at[-1][0]) if at else (None, None))
         assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1
-        own = {x for x, _, key in license_scan.TEMPLATES for k in range(len(w)) if w[k : k + len(key.split())] == key.split()}
-        assert set(r.labels.split(",")) - {""} <= {x for _, x in at} | own
+        found = brute_templates(w, weights)
+        assert r.labels == ",".join(sorted({x for _, x in at} | {x for x, _ in found})), t
+        assert abs(r.score - max([0.5 if at else 0.0] + [share for _, share in found])) < 1e-12
     assert got[len(texts) - 1].labels == "mit" and got[len(texts) - 1].score == 1.0
     assert license_scan.scan(docs.limit(0)).count() == 0
 

@@ -1,6 +1,6 @@
 """License scans by a positional index of rare words.
 
-Words are runs of ``[0-9a-z]`` and characters beyond ASCII, after lower-casing. The index holds, for
+Words are runs of ``[0-9a-z]`` and characters beyond ASCII, after lower-casing A-Z alone. The index holds, for
 each template, its rarest words by document frequency over all documents, with their positions. A file
 is looked up by these words only: each occurrence proposes the place where the template would start (its
 position less the word's position in the template). Places proposed by enough rare words are kept and verified:
@@ -17,6 +17,7 @@ inside its row; only document frequencies of the templates' own words are gather
 from __future__ import annotations
 
 from math import log
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +58,8 @@ ANCHORS = 2  # distinct rare words that have to agree on a place
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
+    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), ascii_uppercase, ascii_lowercase)
+    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
 def _strings(values) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, store, unit
-from .license_scan import words_of
+from .license_scan import WORD as ANY_WORD
 
 MAX_TRAIN = 24_000  # labelled documents used for training, about
 BASE_WORDS, TOXIC_WORDS = 3_000, 300
@@ -105,6 +105,11 @@ def remainder(column: str = "doc_id"):
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
+def words_of(text):
+    """Words as ``Model.counts`` finds them."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(ANY_WORD), F.lit(0))
+
+
 def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, toxic, part: the bounded sample of labelled rows."""
     usable = (
