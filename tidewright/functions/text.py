@@ -138,3 +138,16 @@ def format_day(col: Column) -> Column:
 def shift_minutes(ts: Column, minutes: Column) -> Column:
     """Timestamp moved by a (negative or positive) number of minutes."""
     return ts + F.make_interval(mins=minutes.cast("int"))
+
+
+# The parts of the sentence that stands for a card transaction, each before its column.
+NARRATIVE = (
+    ("transação ", "canal"), (" no merchant ", "merchant"), ("; descrição ", "descricao"), ("; perfil ", "perfil_simulado"), ("; valor R$ ", "valor"),
+    ("; hora ", "hora"), (":15; país ", "pais"), ("; cidade ", "cidade"), ("; cartão_presente ", "cartao_presente"), ("; risco_device ", "risco_device"),
+)
+
+
+def narrative() -> Column:
+    """Card transaction as a sentence; the value keeps its shortest decimal form."""
+    shown = {"valor": F.round("valor", 2).cast("string"), "hora": F.lpad(F.col("hora").cast("string"), 2, "0")}
+    return F.concat(*[x for words, column in NARRATIVE for x in (F.lit(words), shown.get(column, F.col(column)))])

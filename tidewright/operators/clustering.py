@@ -11,17 +11,19 @@ from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.vectors import l2_distance, mean_columns
 from ..sources.literals import literal_table
 from .knn import mean_overlap, top_k
-from .knn_blocks import matrix
+from .knn_blocks import TIE_DIGITS, matrix, score_block
 from .layout import percentile_rank
 from .sizes import broadcast_if_small
 
 # Cluster count, seed and thresholds of the fraud job.
 CLUSTERS, SEED = 7, 42
 SUSPICIOUS_RATE, OUTLIER_PERCENTILE = 0.6, 0.98
+MAX_CENTRES = 10_000  # centres a task holds; with vectors of a thousand numbers 80 MB
 
 
 def kmeans(df: DataFrame, vec: str = "embedding", k: int = CLUSTERS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -40,6 +42,29 @@ def assign_nearest(df: DataFrame, centres: DataFrame, key: str, vec: str = "embe
     return found.select(F.col("query_id").alias(key), F.col("item_id").alias("cluster"))
 
 
+def place(df: DataFrame, centres: DataFrame, vec: str = "embedding", name: str = "cluster") -> DataFrame:
+    """``df`` with the nearest given centre of every row as a column; lower cluster wins ties. Rows need no key, and no join takes place.
+
+    The centres are few and are held by every task; their size is checked.
+    """
+    held = centres.select("cluster", F.col("centre").cast("array<double>").alias("centre")).orderBy("cluster").limit(MAX_CENTRES + 1).toArrow()
+    if held.num_rows > MAX_CENTRES:
+        raise ValueError(f"more than {MAX_CENTRES} centres; look them up by assign_nearest")
+    shared = df.sparkSession.sparkContext.broadcast((held["cluster"].to_numpy(), matrix(held["centre"])))
+    at, step = df.columns.index(vec), max(1, (1 << 22) // max(1, held.num_rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clusters, m = shared.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            points = matrix(b.column(at))
+            near = [np.round(-score_block(points[i : i + step], m, "l2"), TIE_DIGITS).argmin(axis=1) for i in range(0, len(points), step)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(clusters[np.concatenate(near)], pa.int32())], names=[*b.schema.names, name])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, IntegerType())]))
+
+
 def centre_distance(df: DataFrame, centres: DataFrame, vec: str = "embedding") -> DataFrame:
     """Distance of each row to the centre of its cluster."""
     near = df.join(broadcast_if_small(centres), "cluster")
@@ -193,23 +218,24 @@ def _second_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))], names=["n", "sums"])
 
 
-def kmeans_certificate(rows: DataFrame, centres: DataFrame, key: str, vec: str = "embedding", tolerance: float = 1e-6) -> DataFrame:
+def kmeans_certificate(rows: DataFrame, centres: DataFrame, vec: str = "embedding", tolerance: float = 1e-6) -> DataFrame:
     """Whether a clustering is what it claims, from the rows: one row of numbers.
 
     ``misplaced`` counts rows nearer (by more than the tolerance) to another centre than to their own, ``empty`` centres without rows, and ``drift`` is the largest
     distance of a centre from the mean of its rows.
     """
-    near = assign_nearest(rows.select(key, vec), centres, key, vec).withColumnRenamed("cluster", "nearest")
-    both = rows.select(key, vec, "cluster").join(near, key).join(broadcast_if_small(centres), "cluster")
+    near = place(rows.select(vec, "cluster"), centres, vec, "nearest").join(broadcast_if_small(centres), "cluster")
     other = broadcast_if_small(centres.select(F.col("cluster").alias("nearest"), F.col("centre").alias("other")))
     gap = l2_distance(F.col(vec), F.col("centre")) - l2_distance(F.col(vec), F.col("other"))
-    judged = both.join(other, "nearest").agg(F.count(F.lit(1)).alias("rows"), F.count_if(gap > tolerance).alias("misplaced"))
-    dim = centres.select(F.max(F.size("centre"))).first()[0]
+    judged = near.join(other, "nearest").agg(F.count(F.lit(1)).alias("rows"), F.count_if(gap > tolerance).alias("misplaced"))
+    dim = centres.select(F.max(F.size("centre"))).first()[0] or 0
     means = rows.groupBy("cluster").agg(mean_columns(vec, dim).alias("mean"))
     moved = centres.join(means, "cluster", "left").agg(
         F.count(F.lit(1)).alias("clusters"), F.count_if(F.col("mean").isNull()).alias("empty"), F.max(l2_distance(F.col("centre"), F.col("mean"))).alias("drift")
     )
-    return judged.join(F.broadcast(moved))  # one row each
+    told = {**judged.first().asDict(), **moved.first().asDict()}
+    schema = "rows long, misplaced long, clusters long, empty long, drift double"
+    return literal_table(rows.sparkSession, [tuple(told[c.split()[0]] for c in schema.split(", "))], schema)
 
 
 def compression_report(df: DataFrame, key: str, dims: Sequence[int] = (2, 4, 8, 12), k: int = 3, vec: str = "embedding") -> DataFrame:

@@ -77,15 +77,17 @@ def running_totals(
     )
 
 
-def percentile_rank(df: DataFrame, group: str, value: str, name: str, partitions: int | None = None) -> DataFrame:
+def percentile_rank(
+    df: DataFrame, group: str, value: str, name: str, partitions: int | None = None, settled: bool = False
+) -> DataFrame:
     """Average rank of a value within its group over the group's size (ties share their mean rank).
 
     Equal values are counted first, so the ranking sees distinct values only and
     a value shared by many rows costs one row. The rows are settled first: a value computed
-    twice could differ in its last bit and then not be found. Rows without group or value keep a null rank.
+    twice could differ in its last bit and then not be found (``settled`` rows come from a table). Rows without group or value keep a null rank.
     """
     shared_folder(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    df = df if settled else df.checkpoint(eager=True)
     counts = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
     upto = running_totals(counts, [group], [value], {"_upto": "_n"}, partitions)
     size = counts.groupBy(group).agg(F.sum("_n").alias("_size"))

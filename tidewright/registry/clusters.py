@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import vectors as vx
+from ..functions.text import narrative
 from ..operators import clustering as cg
 from ..operators.sizes import broadcast_if_small
+from ..plans import fraud
+from ..session import scratch_path
 from . import Tables, register
-from .fixtures import CLUSTERED_SQL, clustered
-from .scalars import _CENTRE, centres
+from .fixtures import CLUSTERED_SQL, TX_SQL, clustered, transactions
+from .scalars import _CENTRE, NARRATIVE_SQL, centres, unit_sql
 
 _BASE = (
     f"WITH {_CENTRE}, tx AS ({CLUSTERED_SQL}), d AS (SELECT tx.*, centre, list_distance(embedding::DOUBLE[], centre) AS distancia_centroide "
@@ -117,6 +122,57 @@ def _(t: Tables):
     return cg.classification_report(alerted(t), "fraude", "alerta", [0, 1])
 
 
+# ---- the whole fraud job: sentences of transactions, embedded and clustered -----------------
+
+_MARK = "CASE WHEN risco_device = 'alto' AND (hora < 8 OR canal = 'online') THEN 1 ELSE 0 END AS fraude"
+_JOB = (
+    f"WITH tx AS (SELECT *, {_MARK} FROM ({TX_SQL})), said AS MATERIALIZED (SELECT *, {NARRATIVE_SQL} AS narrativa, row_number() OVER () AS row_id FROM tx), "
+    f"emb AS MATERIALIZED ({unit_sql('said', 'row_id', 'narrativa', ', narrativa, fraude, merchant, valor')}), "
+    "cen AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY narrativa) - 1 AS INTEGER) AS cluster, any_value(emb) AS centre FROM emb GROUP BY narrativa ORDER BY narrativa LIMIT 7), "
+    "near AS MATERIALIZED (SELECT row_id, any_value(fraude) AS fraude, any_value(merchant) AS merchant, any_value(valor) AS valor, arg_min(cluster, (round(list_distance(emb, centre), 9), cluster)) AS cluster, "
+    "arg_min(list_distance(emb, centre), (round(list_distance(emb, centre), 9), cluster)) AS distancia_centroide FROM emb, cen GROUP BY row_id), "
+    "r AS (SELECT *, round(distancia_centroide, 9) AS dist FROM near), "
+    "p AS (SELECT *, (rank() OVER (PARTITION BY cluster ORDER BY distancia_centroide) + (count(*) OVER (PARTITION BY cluster, distancia_centroide) - 1) / 2.0::DOUBLE) "
+    "/ count(*) OVER (PARTITION BY cluster) AS percentil_distancia FROM r), s AS (SELECT cluster FROM near GROUP BY cluster HAVING avg(fraude) >= 0.2), "
+    "a AS (SELECT *, CASE WHEN cluster IN (SELECT cluster FROM s) OR percentil_distancia >= 0.98 THEN 1 ELSE 0 END AS alerta FROM p)"
+)
+
+
+def card_transactions(t: Tables):
+    return transactions(t).selectExpr("*", _MARK)
+
+
+def fraud_run(t: Tables):
+    """With the first sentences as centres, so that SQL can follow; the share of frauds that makes a cluster suspicious fits the made-up marks."""
+    tx = card_transactions(t)
+    first = tx.select(narrative().alias("narrativa")).distinct().orderBy("narrativa").limit(7)
+    seeds = first.select((F.row_number().over(Window.orderBy("narrativa")) - 1).alias("cluster"), vx.hash_embedding(F.col("narrativa")).alias("centre"))
+    return fraud.run(tx, scratch_path(t.spark, "fraud"), centres=seeds, rate=0.2)
+
+
+@register("fraud_job_report", f"{_JOB}, " + _report_sql("a", "fraude", "alerta"))
+def _(t: Tables):
+    return fraud_run(t).report()
+
+
+@register("fraud_job_summary", f"{_JOB} SELECT cluster, count(*) AS volume, round(avg(fraude), 6) AS fraude_rate, round(avg(valor), 2) AS ticket_medio, round(avg(distancia_centroide), 6) AS distancia_media FROM near GROUP BY cluster")
+def _(t: Tables):
+    told = fraud_run(t).table("summary")
+    return told.select(
+        "cluster", "volume", F.round("fraude_rate", 6).alias("fraude_rate"), F.round("ticket_medio", 2).alias("ticket_medio"), F.round("distancia_media", 6).alias("distancia_media")
+    )
+
+
+@register(
+    "fraud_job_fitted",
+    f"WITH tx AS (SELECT *, {_MARK} FROM ({TX_SQL})) SELECT count(*) AS transactions, CAST(sum(fraude) AS BIGINT) AS frauds, 0::BIGINT AS unexplained, 0::BIGINT AS misplaced, 7::BIGINT AS clusters, true AS alerted FROM tx",
+)
+def _(t: Tables):
+    """The job with its own k-means: what must hold of its tables, whatever the fit."""
+    told = fraud.check(fraud.run(card_transactions(t), scratch_path(t.spark, "fraud")))
+    return told.select("transactions", "frauds", "unexplained", "misplaced", "clusters", (F.col("alerts") > 0).alias("alerted"))
+
+
 @register("classification_report", "WITH l AS (SELECT quality, 1 - toxic AS predicted FROM labels), " + _report_sql("l", "quality", "predicted"))
 def _(t: Tables):
     judged = t.labels.select("quality", (1 - F.col("toxic")).alias("predicted"))
@@ -144,7 +200,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Every row lies at its nearest centre; centres are the means of their rows up to what the last step of the fit moved."""
     rows, centre = cg.kmeans(t.embeddings)
-    told = cg.kmeans_certificate(rows, centre, "vec_id")
+    told = cg.kmeans_certificate(rows, centre)
     return told.select("rows", "misplaced", "clusters", "empty", (F.col("drift") < 0.2).alias("settled"))
 
 

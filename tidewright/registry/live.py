@@ -11,7 +11,7 @@ from ..sources.writers import drop_folder
 from ..streaming import monitor as mo
 from . import Tables, register
 from .fixtures import RAW_EVENT_SQL, raw_events
-from .monitoring import ENRICHED_SQL, RUN, SCORED_SQL, _CAP_SQL, _LAST, _REFUSED, _cap_z, cause_model, enriched
+from .monitoring import ENRICHED_SQL, RUN, SCORED_SQL, _SHOWN_SQL, _LAST, _REFUSED, _shown_z, cause_model, enriched
 
 SLICES = 2
 
@@ -48,10 +48,10 @@ def streamed(t: Tables, repeat: bool = False, **options) -> tuple[str, str]:
     return out, states
 
 
-@register("stream_microbatch", f"{ENRICHED_SQL} SELECT event_id, service, event_type, severity, is_anomaly, risk_score, risk_level, {_CAP_SQL} FROM enr")
+@register("stream_microbatch", f"{ENRICHED_SQL} SELECT event_id, service, event_type, severity, is_anomaly, risk_score, risk_level, {_SHOWN_SQL} FROM enr")
 def _(t: Tables):
     out, _ = streamed(t, per_cycle=t.events.count() // 5)
-    return mo.read_results(t.spark, out).select("event_id", "service", "event_type", "severity", "is_anomaly", "risk_score", "risk_level", _cap_z())
+    return mo.read_results(t.spark, out).select("event_id", "service", "event_type", "severity", "is_anomaly", "risk_score", "risk_level", _shown_z())
 
 
 @register(

@@ -74,12 +74,14 @@ _FACT = (
     "enr AS (SELECT *, CASE WHEN risk_score >= 80 THEN 'critical' WHEN risk_score >= 60 THEN 'high' WHEN risk_score >= 35 THEN 'medium' ELSE 'low' END AS risk_level FROM rsk)"
 )
 ENRICHED_SQL = f"{SCORED_SQL}, {_CAUSE}, {_FACT}"
-_CAP_SQL = "round(greatest(-1e6, least(1e6, z_score)), 3) AS z_score"
+_SHOWN_Z = "CASE WHEN abs(z_score) < 1e6 THEN round(z_score, 3) ELSE CAST(CAST(z_score AS FLOAT) AS DOUBLE) END"
+_SHOWN_SQL = f"{_SHOWN_Z} AS z_score"
 
 
-def _cap_z():
-    """z reaches 1e15 after constant runs; compare it capped."""
-    return F.round(F.greatest(F.lit(-1e6), F.least(F.lit(1e6), F.col("z_score"))), 3).alias("z_score")
+def _shown_z():
+    """z reaches 1e15 after constant runs: then it is compared by its first seven digits, as its third decimal has no meaning."""
+    z = F.col("z_score")
+    return F.when(F.abs(z) < 1e6, F.round(z, 3)).otherwise(z.cast("float").cast("double")).alias("z_score")
 
 
 def classified(t: Tables):
@@ -184,18 +186,18 @@ def _(t: Tables):
     return extracted(t).select(*_EXT_COLS)
 
 
-@register("ewma_anomaly", f"{SCORED_SQL} SELECT event_id, bucket, {_CAP_SQL}, is_anomaly FROM sc")
+@register("ewma_anomaly", f"{SCORED_SQL} SELECT event_id, bucket, {_SHOWN_SQL}, is_anomaly FROM sc")
 def _(t: Tables):
     bucket = anomaly.bucket_of(F.col("service"), F.col("event_type")).alias("bucket")
-    return anomaly.detect(extracted(t)).select("event_id", bucket, _cap_z(), "is_anomaly")
+    return anomaly.detect(extracted(t)).select("event_id", bucket, _shown_z(), "is_anomaly")
 
 
-@register("ewma_zscore", f"{SCORED_SQL} SELECT bucket, count(*) AS events, count(*) FILTER (WHERE is_anomaly) AS flagged, round(avg(greatest(-100, least(100, z_score))), 6) AS mean_z FROM sc GROUP BY bucket")
+@register("ewma_zscore", f"{SCORED_SQL} SELECT bucket, count(*) AS events, count(*) FILTER (WHERE is_anomaly) AS flagged, min({_SHOWN_Z}) AS least_z, max({_SHOWN_Z}) AS greatest_z FROM sc GROUP BY bucket")
 def _(t: Tables):
     bucket = anomaly.bucket_of(F.col("service"), F.col("event_type")).alias("bucket")
     return anomaly.detect(extracted(t)).groupBy(bucket).agg(
         F.count(F.lit(1)).alias("events"), F.count_if("is_anomaly").alias("flagged"),
-        F.round(F.avg(F.greatest(F.lit(-100.0), F.least(F.lit(100.0), F.col("z_score")))), 6).alias("mean_z"),
+        F.min(_shown_z()).alias("least_z"), F.max(_shown_z()).alias("greatest_z"),
     )
 
 
@@ -262,10 +264,10 @@ _ENR_COLS = ["event_id", "source", "service", "event_type", "severity", "classif
              "extracted_summary", "is_anomaly", "root_cause", "risk_score", "risk_level"]
 
 
-@register("enrich_events", f"{ENRICHED_SQL} SELECT {', '.join(_ENR_COLS)}, {_CAP_SQL}, recs AS recommendations, '{RUN}' AS pipeline_run_id, 'v1' AS prompt_version FROM enr")
+@register("enrich_events", f"{ENRICHED_SQL} SELECT {', '.join(_ENR_COLS)}, {_SHOWN_SQL}, recs AS recommendations, '{RUN}' AS pipeline_run_id, 'v1' AS prompt_version FROM enr")
 def _(t: Tables):
     return enriched(t).select(
-        *_ENR_COLS, _cap_z(), F.array_join("recommendations", "|").alias("recommendations"), "pipeline_run_id", "prompt_version"
+        *_ENR_COLS, _shown_z(), F.array_join("recommendations", "|").alias("recommendations"), "pipeline_run_id", "prompt_version"
     )
 
 

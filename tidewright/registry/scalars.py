@@ -64,17 +64,6 @@ def _(t: Tables):
     return t.documents.select("doc_id", tx.truncate_with_dots(F.col("text")).alias("short"))
 
 
-def narrative():
-    """Card transaction as a sentence; the value keeps its shortest decimal form."""
-    return F.concat(
-        F.lit("transação "), F.col("canal"), F.lit(" no merchant "), F.col("merchant"), F.lit("; descrição "), F.col("descricao"),
-        F.lit("; perfil "), F.col("perfil_simulado"), F.lit("; valor R$ "), F.round("valor", 2).cast("string"),
-        F.lit("; hora "), F.lpad(F.col("hora").cast("string"), 2, "0"), F.lit(":15; país "), F.col("pais"),
-        F.lit("; cidade "), F.col("cidade"), F.lit("; cartão_presente "), F.col("cartao_presente"),
-        F.lit("; risco_device "), F.col("risco_device"),
-    )
-
-
 NARRATIVE_SQL = (
     "concat('transação ', canal, ' no merchant ', merchant, '; descrição ', descricao, '; perfil ', perfil_simulado, '; valor R$ ', "
     "cast(round(valor, 2) AS VARCHAR), '; hora ', lpad(cast(hora AS VARCHAR), 2, '0'), ':15; país ', pais, '; cidade ', cidade, "
@@ -84,12 +73,12 @@ NARRATIVE_SQL = (
 
 @register("f_concat_narrative", f"WITH tx AS ({TX_SQL}) SELECT tx_id, {NARRATIVE_SQL} AS narrativa FROM tx")
 def _(t: Tables):
-    return transactions(t).select("tx_id", narrative().alias("narrativa"))
+    return transactions(t).select("tx_id", tx.narrative().alias("narrativa"))
 
 
 @register("narrative_from_row", f"WITH tx AS ({TX_SQL}) SELECT canal, hora, count(*) AS n, CAST(sum(length({NARRATIVE_SQL})) AS BIGINT) AS chars, min({NARRATIVE_SQL}) AS first_text FROM tx GROUP BY canal, hora")
 def _(t: Tables):
-    told = transactions(t).withColumn("narrativa", narrative())
+    told = transactions(t).withColumn("narrativa", tx.narrative())
     return told.groupBy("canal", "hora").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("narrativa")).alias("chars"), F.min("narrativa").alias("first_text")
     )
