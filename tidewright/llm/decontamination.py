@@ -62,17 +62,17 @@ def _masks(short: list[int]) -> list[tuple[int, tuple[int, ...]]]:
 
 
 def _seeds(words: Column, at: Column, short: list[int]) -> Column:
-    """The hashes of all masks that start at ``at`` and do not overrun."""
-    return F.array_compact(F.array(*[
+    """The hashes of all masks that start at ``at``, null for those that overrun: a plain array, so that long texts are walked in generated code."""
+    return F.array(*[
         F.when(at + m[-1] < F.size(words), F.xxhash64(F.lit(k), *[F.get(words, at + o) for o in m])) for k, m in _masks(short)
-    ]))
+    ])
 
 
 def _item_seeds(items: DataFrame, short: list[int]) -> DataFrame:
     """seed, item_id, at, n: items by the masks of their kind; short ones have one place per mask."""
     words, at = F.col("words"), F.col("at")
     long_ = items.where(F.col("n") >= LONG_ITEM).select("item_id", "words", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at"))
-    found = long_.select(F.explode(_seeds(words, at, [])).alias("seed"), "item_id", "at", "n")
+    found = long_.select(F.explode(_seeds(words, at, [])).alias("seed"), "item_id", "at", "n").where("seed IS NOT NULL")
     for n in short:
         own = F.array(*[
             F.struct(F.xxhash64(F.lit(1000 * n + k), *[F.get(words, F.lit(i)) for i in m]).alias("seed"), F.lit(m[0]).alias("at"))
