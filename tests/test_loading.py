@@ -262,6 +262,49 @@ def test_kmeans_covers_every_row(spark, frame):
     assert own.filter("cluster <> c").count() == 0
 
 
+def test_certificate_notices_a_wrong_clustering(frame):
+    rows = [(i, [float(i % 3) * 10, float(i % 7) / 10], i % 3) for i in range(60)]
+    centres = frame([(c, [c * 10.0, 0.3]) for c in range(3)], "cluster int, centre array<double>")
+    schema = "vec_id long, embedding array<double>, cluster int"
+    good = cg.kmeans_certificate(frame(rows, schema), centres).first()
+    assert (good.rows, good.misplaced, good.clusters, good.empty) == (60, 0, 3, 0) and good.drift < 0.1
+    bad = cg.kmeans_certificate(frame([(i, v, 0 if i < 9 else c) for i, v, c in rows], schema), centres).first()
+    assert bad.misplaced == 6 and bad.drift > 0.5
+    moved = frame([(0, [0.0, 0.3]), (1, [10.0, 0.3]), (2, [20.0, 0.3]), (3, [99.0, 0.0])], "cluster int, centre array<double>")
+    assert cg.kmeans_certificate(frame(rows, schema), moved).first().empty == 1
+
+
+def test_place_takes_the_lower_cluster_on_ties(frame):
+    df = frame([(1, [0.0]), (1, [0.0]), (2, [5.0]), (3, [10.0])], "vec_id long, embedding array<double>")
+    centres = frame([(7, [10.0]), (3, [0.0])], "cluster int, centre array<double>")
+    assert sorted((r.vec_id, r.cluster) for r in cg.place(df, centres).collect()) == [(1, 3), (1, 3), (2, 3), (3, 7)]
+
+
+def test_fraud_job_from_text_to_report(spark, frame, tmp_path):
+    from tidewright.plans import fraud
+
+    def tx(i, bad):
+        return (i, "shop", f"m{i % 5}", "watch" if bad else "bread", "online" if bad else "pos", "nao" if bad else "sim", "alto" if bad else "baixo", "X", "Y",
+                3 if bad else 12, 10.0 * (i % 9) + (900 if bad else 0), int(bad))
+
+    schema = ("tx_id long, perfil_simulado string, merchant string, descricao string, canal string, cartao_presente string, risco_device string, "
+              "pais string, cidade string, hora int, valor double, fraude int")
+    rows = frame([tx(i, i % 5 == 0) for i in range(200)], schema)
+
+    def load_model():  # an embedder that sees what was bought, and how
+        return lambda texts: [[10.0 * ("watch" in t), 10.0 * ("online" in t), (len(t) % 7) / 100] for t in texts]
+
+    done = fraud.run(rows, str(tmp_path / "job"), load_model=load_model, clusters=2)
+    told = fraud.check(done).first()
+    assert (told.transactions, told.frauds, told.unexplained, told.misplaced, told.clusters) == (200, 40, 0, 0, 2)
+    report = {r.label: r for r in done.report().collect()}
+    assert report["1"].recall == 1.0 and report["1"].precision > 0.85
+    worst = done.suspicious(5).collect()
+    assert len(worst) == 5 and all(r.fraude == 1 for r in worst) and [r.valor for r in worst] == sorted((r.valor for r in worst), reverse=True)
+    assert done.outliers().count() == 15 and done.table("summary").first().fraude_rate == 1.0
+    assert done.scored.where("narrativa LIKE 'transação online no merchant m0; descrição watch;%'").count() == 40
+
+
 def test_projection_keeps_variance(frame):
     rows = [(i, [float(i), 2.0 * i + 5, float(i % 3) / 100]) for i in range(30)]
     fit = cg.Projection(frame(rows, "vec_id long, embedding array<double>"), 2)

@@ -72,6 +72,18 @@ def test_upsert_last_write_wins(frame):
     assert {r.doc_id: (r.embedding, r.version) for r in got.collect()} == {"a": ([1.0], 1), "b": ([2.0], 2), "c": ([3.0], 2)}
 
 
+def test_hot_keys_meet_their_partners_by_broadcast(frame):
+    from tidewright.operators.sizes import join_hot
+
+    rows = frame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(900, "absent")], "id long, key string")
+    unique = frame([("hot", "h")] + [(f"k{i}", f"v{i}") for i in range(0, 300, 6)], "key string, v string")
+    plain = sorted(map(tuple, rows.join(unique, "key", "left").select("id", "key", "v").collect()))
+    got = join_hot(rows, unique, "key", hot_rows=10)
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.select("id", "key", "v").collect())) == plain
+    assert sorted(map(tuple, join_hot(rows, unique, "key").select("id", "key", "v").collect())) == plain
+
+
 def windows(text, size=160, overlap=20):
     out, start = [], 0
     while start < len(text):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .knn_blocks import BestK, id_array, matrix, score_block
+from .knn_blocks import TIE_DIGITS, BestK, id_array, matrix, score_block
 from .metric_index import MetricIndex, settled
 
 BROADCAST_BYTES = 64 << 20
@@ -134,7 +134,7 @@ def similarities(queries: DataFrame, items: DataFrame, *, query_id: str = "query
                 continue
             m = matrix(b.column("vec"))
             for at, end in _steps(len(m), 64 * len(ids)):
-                scores = score_block(m[at:end], mat, metric)
+                scores = np.round(score_block(m[at:end], mat, metric), TIE_DIGITS)
                 rows, cols = np.divmod(np.arange(scores.size), len(ids))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("key").take(pa.array(rows + at)), ids.take(pa.array(cols)), pa.array(scores.ravel())], names=["query_id", "item_id", "score"]

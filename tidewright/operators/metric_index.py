@@ -153,11 +153,19 @@ class MetricIndex:
         rings = self.spark.sparkContext.broadcast(self.rings)
         one_block = self.block_rows >= 4 * need
 
-        def first(bounds: np.ndarray, away: np.ndarray, r: Rings) -> np.ndarray:
-            """The nearest centre's ring of the best bound, and as many more as hold enough items."""
-            order = np.lexsort((away, -bounds))
-            enough = int(np.searchsorted(np.cumsum(r.items[order]), need)) + 1
-            return order[:enough]
+        def first(bounds: np.ndarray, away: np.ndarray, r: Rings) -> tuple[np.ndarray, np.ndarray]:
+            """(row, ring): of the rings of the best bound the one with the nearest centre, and as many more as hold enough items."""
+            best = bounds == bounds.max(axis=1, keepdims=True)
+            place = np.where(best, away, np.inf).argmin(axis=1)
+            rows, short = np.arange(len(place)), np.flatnonzero(r.items[place] < need)
+            if not len(short):
+                return rows, place
+            more = []
+            for i in short:  # small rings: the next best ones as well
+                order = np.lexsort((away[i], -bounds[i]))
+                more.append(order[: int(np.searchsorted(np.cumsum(r.items[order]), need)) + 1])
+            keep = np.setdiff1d(rows, short)
+            return np.concatenate((keep, np.repeat(short, [len(m) for m in more]))), np.concatenate((place[keep], *more))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             r = rings.value
@@ -173,10 +181,7 @@ class MetricIndex:
                         slack = 2 * 10.0**-TIE_DIGITS + 1e-12 * np.abs(bounds).max(initial=0.0)
                         rows, places = np.nonzero(bounds >= (floors - slack)[:, None])
                     else:
-                        # Rings around the nearest centre come first: others may cover the query by size alone.
-                        picks = [first(x, y, r) for x, y in zip(bounds, away)]
-                        rows = np.repeat(np.arange(len(picks)), [len(p) for p in picks])
-                        places = np.concatenate(picks) if picks else np.zeros(0, np.int64)
+                        rows, places = first(bounds, away, r)
                     times = r.blocks[places]
                     if not bounded and one_block:
                         block, times = (rows + at) % times, np.ones(len(times), np.int64)

@@ -14,7 +14,9 @@ from ..operators.anomaly import THRESHOLD, detect
 from ..operators.classify import classify
 from ..operators.contract import CALL_SCHEMA, CONTRACTS, Model, ask
 from ..operators.extract import extract, root_cause
+from ..operators.metric_index import settled
 from ..operators.risk import ALERT_THRESHOLD, OUTPUT_TOKENS, call_facts, price_calls, run_facts, run_row, score_risk
+from ..operators.sizes import join_hot
 from .retrieval import retrieve_context
 
 PROMPT_VERSION = "v1"
@@ -105,12 +107,12 @@ def refused(df: DataFrame) -> Column:
 def with_context(events: DataFrame, documents: DataFrame) -> DataFrame:
     """``rag_context``: what the documents say to an event's query. Each distinct query is searched once.
 
-    Many events share a query; they meet its one context in a join whose event side may be split (adaptive skew join).
+    Many events share a query, some perhaps a third of all: these meet their context by broadcast.
     """
-    keyed = events.withColumn("_query", retrieval_query())
-    queries = keyed.select(F.coalesce("_query", F.lit("")).alias("query")).distinct().select(F.sha2("query", 256).alias("query_id"), "query")
+    keyed = events.withColumn("_key", F.sha2(F.coalesce(retrieval_query(), F.lit("")), 256)).checkpoint(eager=True)
+    queries = keyed.select(F.coalesce(retrieval_query(), F.lit("")).alias("query")).distinct().select(F.sha2("query", 256).alias("query_id"), "query")
     found = retrieve_context(queries, documents).select(F.col("query_id").alias("_key"), F.col("context").alias("rag_context"))
-    return keyed.withColumn("_key", F.sha2(F.coalesce("_query", F.lit("")), 256)).join(found, "_key", "left").drop("_key", "_query")
+    return join_hot(keyed, settled(found, "contexts"), "_key").drop("_key")
 
 
 @dataclass(frozen=True)

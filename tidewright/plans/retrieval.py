@@ -13,6 +13,7 @@ from ..functions.vectors import hash_embedding
 from ..operators import chunking
 from ..operators.knn import top_k, upsert
 from ..operators.metric_index import settled
+from ..operators.sizes import join_hot
 
 # Search width, and the text shown when nothing is found.
 SEARCH_K, RERANK_FETCH, RERANK_KEEP, CONTEXT_K, CONTEXT_CHARS = 4, 6, 3, 3, 500
@@ -80,7 +81,7 @@ def retrieve_context(queries: DataFrame, docs: DataFrame, k: int = CONTEXT_K, ch
     ``queries``: (query_id, query); ``docs``: (item_id, content, type, source). Equal
     query texts have equal answers, so each distinct text is searched once.
     """
-    key = F.sha2("query", 256)
+    key = F.sha2(F.coalesce("query", F.lit("")), 256)
     # Queries are often computed from events: they are settled once, as are the embeddings of both sides.
     asked = settled(queries.select("query_id", "query", key.alias("_q")), "asked")
     distinct = embed_text(asked.groupBy("_q").agg(F.first("query").alias("query")), "query").select(F.col("_q").alias("query_id"), "embedding")
@@ -93,6 +94,6 @@ def retrieve_context(queries: DataFrame, docs: DataFrame, k: int = CONTEXT_K, ch
     )
     texts = hits.join(docs, "item_id").select(F.col("query_id").alias("_q"), "rank", block.alias("block"))
     context = texts.groupBy("_q").agg(ordered_text(F.col("block"), F.col("rank"), "\n---\n").alias("context"))
-    return asked.join(context, "_q", "left").select(
+    return join_hot(asked, context, "_q").select(
         "query_id", F.coalesce("context", F.lit(NOTHING_FOUND)).alias("context")
     )

@@ -330,6 +330,31 @@ def _(t: Tables):
     return both.fillna(0, ["trusted", "dlq"])
 
 
+_UNDATED = f"CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE {_MONTH} END"
+
+
+@register(
+    "etl_ingest_undated",
+    f"{_ERR}, d AS (SELECT *, {_UNDATED} AS dt FROM e), k AS (SELECT * FROM d WHERE dt IS NULL OR dt <> (SELECT min(dt) FROM d)) "
+    "SELECT coalesce(strftime(dt, '%Y-%m-%d'), 'none') AS dt, count(*) AS raw, count(*) FILTER (WHERE len(errors) = 0) AS trusted, count(*) FILTER (WHERE len(errors) > 0) AS dlq FROM k GROUP BY 1",
+)
+def _(t: Tables):
+    """Orders without a date among the others, in two loads, the second one twice; then the first month is loaded again and has no rows left."""
+    schema = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+    base, odd = scratch_path(t.spark, "lake"), F.month("o_orderdate") % 2 == 1
+    dt = F.when(F.col("o_orderkey") % 50 != 0, month())
+    first = t.orders.select(F.date_format(F.min(dt), "yyyy-MM-dd")).first()[0]
+    for load, dates in ((t.orders.filter(odd), None), (t.orders.filter(~odd), None), (t.orders.filter(~odd), None), (t.orders.filter("false"), [first])):
+        paths = etl.ingest(load, base, "orders", order_rules(), schema, dt, dates=dates)
+
+    def counts(path, name):
+        rows = t.spark.read.parquet(path)
+        return rows.groupBy(F.coalesce(F.date_format("dt", "yyyy-MM-dd"), F.lit("none")).alias("dt")).agg(F.count(F.lit(1)).alias(name))
+
+    both = counts(paths["raw"], "raw").join(counts(paths["trusted"], "trusted"), "dt", "left").join(counts(paths["dlq"], "dlq"), "dt", "left")
+    return both.fillna(0, ["trusted", "dlq"])
+
+
 @register("etl_transform", f"SELECT c_mktsegment, origin, round(sum(amount), 2) AS amount, count(*) AS n FROM ({_STAGE}) LEFT JOIN customer ON c_custkey = o_custkey GROUP BY ALL")
 def _(t: Tables):
     dim = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")

@@ -134,7 +134,7 @@ def _(t: Tables):
     "vector_upsert",
     "WITH a AS (SELECT vec_id AS doc_id, embedding, 1 AS version FROM embeddings UNION ALL "
     "SELECT vec_id + 3 * label, list_reverse(embedding), 2 + label FROM embeddings WHERE label IN (2, 7)) "
-    "SELECT doc_id, max(version) AS version, round(arg_max(embedding[1], version)::DOUBLE, 6) AS first FROM (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY version DESC) = 1) GROUP BY doc_id",
+    "SELECT doc_id, max(version) AS version, round(arg_max(embedding[1], version)::DOUBLE, 6) AS first, round(arg_max(list_sum(list_transform(embedding::DOUBLE[], lambda x, i: x * i)), version), 4) AS whole FROM (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY version DESC) = 1) GROUP BY doc_id",
 )
 def _(t: Tables):
     current = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding", F.lit(1).alias("version"))
@@ -143,7 +143,8 @@ def _(t: Tables):
         (F.lit(2) + F.col("label")).alias("version"),
     )
     merged = knn.upsert(current, changes)
-    return merged.select("doc_id", "version", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
+    weighted = vx.total(F.transform(vx.as_double(F.col("embedding")), lambda x, i: x * (i + 1)))
+    return merged.select("doc_id", "version", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"), F.round(weighted, 4).alias("whole"))
 
 
 # ---- retrieval for events ---------------------------------------------------
@@ -168,20 +169,28 @@ def _(t: Tables):
 # ---- user functions ---------------------------------------------------------
 
 def _toy_model():
-    """A stand-in for a user model: text length and word count."""
-    return lambda texts: [[float(len(x)), float(len(x.split()))] for x in texts]
+    """A stand-in for a user model: text length and number of words."""
+    return lambda texts: [[float(len(x)), float(len([w for w in x.replace("\n", " ").split(" ") if w]))] for x in texts]
 
 
-@register("embed_model", "SELECT conv_id, turn, length(text)::DOUBLE AS dim_0 FROM conversations")
+def _letter_model():
+    """Another one: how often each vowel stands in a text."""
+    return lambda texts: [[float(x.count(v)) for v in "aeiou"] for x in texts]
+
+
+@register(
+    "embed_model",
+    "SELECT conv_id, turn, length(text)::DOUBLE AS dim_0, len(list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda w: w <> ''))::DOUBLE AS dim_1 FROM conversations",
+)
 def _(t: Tables):
     e = rt.embed_with(t.conversations, "text", _toy_model)
-    return e.select("conv_id", "turn", F.col("embedding")[0].cast("double").alias("dim_0"))
+    return e.select("conv_id", "turn", *[F.col("embedding")[i].cast("double").alias(f"dim_{i}") for i in range(2)])
 
 
-@register("udf_embedder", "SELECT item_id, length(text)::DOUBLE AS dim_0 FROM benchmark")
+@register("udf_embedder", "SELECT item_id, " + ", ".join(f"(length(text) - length(replace(text, '{v}', '')))::DOUBLE AS {v}" for v in "aeiou") + " FROM benchmark")
 def _(t: Tables):
-    e = rt.embed_with(t.benchmark, "text", _toy_model)
-    return e.select("item_id", F.col("embedding")[0].cast("double").alias("dim_0"))
+    e = rt.embed_with(t.benchmark, "text", _letter_model)
+    return e.select("item_id", *[F.col("embedding")[i].cast("double").alias(v) for i, v in enumerate("aeiou")])
 
 
 @register("udf_vector_store", _ANCHOR_HITS.format(_IP) + " SELECT query_id, item_id, rank FROM h WHERE rank <= 3")
