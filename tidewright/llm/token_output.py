@@ -16,6 +16,7 @@ the texts.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -253,16 +254,33 @@ def _decoded(batch: pa.RecordBatch, code: "Codebook") -> Iterator[tuple[list, li
         yield [part, number, before, doc_ids, lengths], ids
 
 
+def _id_counts(draft: DataFrame) -> DataFrame:
+    """id, n from the parts' tallies. A task adds up several parts before its sums leave it, so they don't grow with the number of parts."""
+    tallies = draft.where("block = -1").select("doc_ids", "checkpoints")
+    n_tasks = max(tallies.sparkSession.sparkContext.defaultParallelism, math.isqrt(tallies.count()))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for ids, counts in zip(batch.column(0), batch.column(1), strict=True):
+                ids, counts = ids.values.to_numpy(), counts.values.to_numpy()
+                if len(ids) and ids.max() >= len(total):
+                    total = np.concatenate((total, np.zeros(int(ids.max()) + 1 - len(total), np.int64)))
+                total[ids] += counts
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
+
+    merged = tallies.coalesce(n_tasks).mapInArrow(add_up, "id long, n long")
+    return merged.groupBy("id").agg(F.sum("n").alias("n"))
+
+
 def write_ids(docs: DataFrame, path: str, out: str, end_id: int = 2) -> None:
     """Encode all texts and write ``out``/codebook and ``out``/blocks."""
     spark = docs.sparkSession
     at = scratch_path(spark, "id-draft")
     _draft(docs, path, at, end_id)
     draft = spark.read.schema(BLOCKS).parquet(at)
-    counts = (
-        draft.where("block = -1").select(F.explode(F.arrays_zip("doc_ids", "checkpoints")).alias("c"))
-        .groupBy(F.col("c.doc_ids").alias("id")).agg(F.sum("c.checkpoints").alias("n")).toPandas()  # bounded by the vocabulary
-    )
+    counts = _id_counts(draft).toPandas()  # bounded by the vocabulary
     if len(counts):
         final = Codebook(counts["id"].to_numpy(), code_lengths(counts["n"].to_numpy()))
     else:
