@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tidewright.operators import knn
-from tidewright.operators.knn_blocks import BestK, score_block
+from tidewright.operators.knn_blocks import BestK, Points, compare, score_block
 from tidewright.operators.metric_index import MetricIndex
 
 SCHEMA = "id long, embedding array<double>"
@@ -99,3 +99,42 @@ def test_matrix_of_scores(frame):
     assert len(got) == 45
     known = {(q, i): s for (q, x) in queries for (i, _), s in zip(items, score_block(np.array([x]), np.array([v for _, v in items]), "cosine")[0])}
     assert all(math.isclose(r.score, known[(r.query_id, r.item_id)], abs_tol=1e-12) for r in got)
+
+
+def test_rows_that_travel_do_not_grow_with_the_blocks(frame, monkeypatch):
+    # Vectors without any structure: nothing is ruled out, every query meets every block.
+    from tidewright.operators import metric_index
+
+    rng, stored = np.random.default_rng(3), {}
+    items = [(i, rng.standard_normal(12).tolist()) for i in range(400)]
+    keep = metric_index.settled
+
+    def settled(df, name):
+        out = keep(df, name)
+        stored[name] = stored.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(metric_index, "settled", settled)
+    monkeypatch.setattr(metric_index, "REGION_BYTES", 150 * 12 * 8)  # three regions
+    df = frame(items, SCHEMA)
+    got = knn.top_k(df, df, 4, query_id="id", item_id="id", metric="cosine", skip_self=True, bound=1, block_rows=8)
+    assert found(got) == brute(items, items, 4, "cosine", skip_self=True)
+    assert stored["index-visits"] <= 3 * len(items)
+
+
+@pytest.mark.parametrize("skip_self", [False, True])
+def test_blocks_in_single_precision_first(skip_self):
+    # Differences far below single precision decide, and ties are many.
+    rng = np.random.default_rng(11)
+    m = np.repeat(rng.standard_normal((300, 16)), 2, axis=0)
+    m[::2] += 2e-8 * rng.standard_normal((300, 16))
+    m = np.concatenate((m, np.ones((9000, 16)), np.zeros((3, 16))))
+    ids, queries = np.arange(len(m)), np.concatenate((np.arange(600), [700, 9602]))
+    best = BestK(queries, 5, skip_self)
+    compare(best, np.arange(len(queries)), Points(m[queries], "cosine"), ids, Points(m, "cosine"))
+    rows, items, _, _ = best.result()
+    scores = np.round(np.einsum("id,jd->ij", Points(m[queries], "cosine").m, Points(m, "cosine").m), 9)
+    if skip_self:
+        scores[np.arange(len(queries)), queries] = -np.inf
+    for i in range(len(queries)):
+        assert items[rows == i].tolist() == np.lexsort((ids, -scores[i]))[:5].tolist()
