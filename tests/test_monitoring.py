@@ -1,5 +1,8 @@
 """Classification, extraction, risk, alerts and the whole job."""
 
+import os
+import time
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -121,6 +124,22 @@ def test_scorer_isolates_failing_rows(frame):
     assert got[7] is None and all(got[i].y == 2.0 * i for i in range(20) if i != 7)
 
 
+def test_scorer_is_not_asked_once_per_good_row(frame, tmp_path):
+    def score(pdf):
+        with open(tmp_path / f"{os.getpid()}-{time.time_ns()}", "w") as f:
+            f.write(str(len(pdf)))
+        if (pdf["t"].str.len() > 50).any():
+            raise ValueError("too long")
+        return pd.DataFrame({"y": pdf["x"] * 2.0})
+
+    rows = [(i, "a" * (60 if i % 10 == 3 else i % 40) if i % 17 else None) for i in range(1000)]
+    df = frame(rows, "x long, t string").coalesce(1)
+    got = {r.x: r.answer for r in score_with(df, score, "y double", attempts=1).collect()}
+    bad = {i for i, t in rows if t and len(t) > 50}
+    assert all((got[i] is None) if i in bad else (got[i].y == 2.0 * i) for i, _ in rows)
+    assert len(os.listdir(tmp_path)) < len(bad) + 60
+
+
 def test_retry_gives_up_after_attempts():
     calls = []
 
