@@ -210,3 +210,41 @@ def test_running_totals_over_partitions(frame):
     for r in got.orderBy("g", "i").collect():
         sums[r.g] = sums.get(r.g, 0) + r.v
         assert r.t == sums[r.g]
+
+
+def test_recursive_chunks_leave_in_small_batches(frame, monkeypatch):
+    text = "Some words of a sentence. " * 40
+    df = frame([(i, text if i % 3 else None) for i in range(50)] + [(99, "")], "k long, text string").coalesce(1)
+    seen = []
+
+    class Rows:
+        schema = df.schema
+
+        def select(self, *columns):
+            self.rows = df.select(*columns)
+            return self
+
+        def mapInArrow(self, run, schema):
+            out = [b for b in run(iter(self.rows.toArrow().to_batches()))]
+            seen.extend(b.num_rows for b in out)
+            return out
+
+    monkeypatch.setattr(chunking, "OUT_CHARS", 3000)
+    out = chunking.recursive(Rows(), "k")
+    want = [(i, n, c) for i in range(50) if i % 3 for n, c in enumerate(chunking.split_recursive(text))]
+    assert [tuple(r.values()) for b in out for r in b.to_pylist()] == want
+    assert max(seen) < 20 and len(want) > 100
+
+
+def test_stored_chunks_are_not_written_again(spark, frame, tmp_path, monkeypatch):
+    from tidewright.operators import knn
+
+    names = []
+    keep = knn.settled
+    monkeypatch.setattr(knn, "settled", lambda df, name: names.append(name) or keep(df, name))
+    chunks = [(f"c{i}", i, 0, f"text {i}", [float(i % 7), 1.0]) for i in range(30)]
+    table = frame(chunks, "item_id string, source int, chunk_id int, chunk string, embedding array<double>")
+    table.write.parquet(str(tmp_path / "chunks"))
+    queries = frame([("q", [1.0, 0.1])], "query_id string, embedding array<double>")
+    got = [rt.search_chunks(queries, spark.read.parquet(str(tmp_path / "chunks")), "fixed", 3, stored=s).orderBy("rank").collect() for s in (True, False)]
+    assert got[0] == got[1] and len(got[0]) == 3 and names == ["queries", "items"]

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Break points from strong to weak.
 SEPARATORS = ("\n## ", "\n### ", "\n- ", "\n", ". ", " ")
 WINDOWS_PER_SLAB = 128
+OUT_CHARS = 1 << 20  # characters of chunks that leave a task at once
 
 
 def fixed(docs: DataFrame, key: str, text: str = "text", size: int = 160, overlap: int = 20, keep: Sequence[str] = ()) -> DataFrame:
@@ -92,17 +95,29 @@ def recursive(docs: DataFrame, key: str, text: str = "text", size: int = 320, ov
     """Chunks along headings, list items, lines, sentences and blanks, numbered per document.
 
     Packing carries state from piece to piece, which no built-in expresses; the
-    helper sees one text at a time and rows leave in small batches.
+    helper sees one text at a time, and chunks leave in batches of about ``OUT_CHARS``, so a task holds no more than that beside its texts.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [
-                (k, i, chunk) for k, t in zip(pdf["k"], pdf["t"]) if t for i, chunk in enumerate(split_recursive(t, size, overlap))
-            ]
-            yield pd.DataFrame(rows, columns=[key, "chunk_id", "chunk"])
-
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"{key} {kind}, chunk_id int, chunk string")
+    schema = StructType().add(key, docs.schema[key].dataType).add("chunk_id", "integer").add("chunk", "string")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, numbers, chunks, chars = [], [], [], 0
+            for i in range(b.num_rows):
+                t = b.column(1)[i].as_py()
+                found = split_recursive(t, size, overlap) if t else []
+                rows += [i] * len(found)
+                numbers += range(len(found))
+                chunks += found
+                chars += sum(map(len, found))
+                if not chunks or (chars < OUT_CHARS and i < b.num_rows - 1):
+                    continue
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(rows, pa.int32())), pa.array(numbers, pa.int32()), pa.array(chunks, arrow[2].type)], schema=arrow
+                )
+                rows, numbers, chunks, chars = [], [], [], 0
+
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, schema)
 
 
 def stats(chunks: DataFrame, *by: str) -> DataFrame:

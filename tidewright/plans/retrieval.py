@@ -46,12 +46,16 @@ def index_documents(docs: DataFrame, key: str, store: DataFrame | None = None, v
     return rows if store is None else upsert(store, rows)
 
 
-def search_chunks(queries: DataFrame, chunks: DataFrame, strategy: str, k: int = SEARCH_K, **options) -> DataFrame:
+def search_chunks(queries: DataFrame, chunks: DataFrame, strategy: str, k: int = SEARCH_K, stored: bool = False, **options) -> DataFrame:
     """Nearest chunks by cosine distance with rank, distance (4 decimals) and preview.
 
-    ``queries``: (query_id, embedding); ``chunks``: (item_id, source, chunk_id, chunk, embedding).
+    ``queries``: (query_id, embedding); ``chunks``: (item_id, source, chunk_id, chunk, embedding). Chunks that are a
+    table (``stored``) are read from there and not written again.
     """
-    hits = top_k(queries, chunks, k, metric="cosine", settle=True, **options)
+    if stored:
+        hits = top_k(settled(queries.select("query_id", "embedding"), "queries"), chunks, k, metric="cosine", **options)
+    else:
+        hits = top_k(queries, chunks, k, metric="cosine", settle=True, **options)
     text = chunks.select("item_id", "source", "chunk_id", "chunk")
     # The hits are k rows per query, so this join reads the chunks once and keeps few rows.
     return hits.join(text, "item_id").select(

@@ -104,7 +104,7 @@ def asked(t: Tables):
 
 def hits(t: Tables, k: int):
     queries = rt.embed_text(asked(t), "query").select("query_id", "embedding")
-    return rt.search_chunks(queries, chunk_store(t), "fixed", k)
+    return rt.search_chunks(queries, chunk_store(t), "fixed", k, stored=True)
 
 
 def _hits_sql(k: int) -> str:
