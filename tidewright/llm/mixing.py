@@ -73,8 +73,10 @@ def _goals(cells: DataFrame, targets: dict[str, DataFrame], budget: float) -> Da
         there = there.alias("t").join(known.alias("k"), F.col("t.value").eqNullSafe(F.col("k.value")), "left").select(
             F.col("t.value").alias("_value"), F.coalesce("k.share", F.lit(0.0)).alias("_share")
         )
-        total = there.select(F.coalesce(F.sum("_share"), F.lit(0.0)).alias("s")).scalar()
-        goal = F.when(total > 0, F.col("_share") * (F.lit(float(budget)) / total)).otherwise(0.0)
+        # The few values are stored, so that the plan of all dimensions stays small: the driver holds plans, code and broadcasts at once.
+        there = store(there, "goals")
+        total = there.agg(F.coalesce(F.sum("_share"), F.lit(0.0)).alias("s")).first()["s"]
+        goal = F.col("_share") * F.lit(float(budget) / total) if total > 0 else F.lit(0.0)
         cells = cells.join(
             there.select("_value", goal.alias(f"goal_{d}")), F.col(d).eqNullSafe(F.col("_value")), "left"
         ).drop("_value")
