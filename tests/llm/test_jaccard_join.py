@@ -74,3 +74,38 @@ def test_one_of_each_stays(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert jaccard_join.near_duplicates(empty).count() == 0 and jaccard_join.keep_one_of_each(empty).count() == 0
+
+
+def test_rows_that_are_compared_do_not_grow_with_the_rounds(spark, monkeypatch):
+    # One large group of near copies and texts that share its leaves but are unlike it: later runs meet what is one class already.
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 7)))
+    base, rows = [word() for _ in range(120)], []
+    for i in range(150):
+        copy = list(base)
+        copy[rng.randrange(len(copy))] = word()
+        rows.append((i, " ".join(copy), 1, "x", 2))
+    for i in range(150, 160):
+        rows.append((i, " ".join(base[:80] + [word() for _ in range(60)]), 1, "x", 2))
+    sent, leaf_rows = [], []
+    by_key, compared = jaccard_join.by_key, jaccard_join._compared
+
+    def counted(df, key, fn, schema):
+        if fn is jaccard_join._forest:
+            sent.append(df.count())
+        return by_key(df, key, fn, schema)
+
+    def kept(*args):
+        out = compared(*args)
+        leaf_rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "SMALL", 8)
+    monkeypatch.setattr(jaccard_join, "CHUNK_NODES", 40)
+    monkeypatch.setattr(jaccard_join, "by_key", counted)
+    monkeypatch.setattr(jaccard_join, "_compared", kept)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = jaccard_join.near_duplicates(df).collect()
+    by_hash = {r.h: r.text for r in df.selectExpr("xxhash64(text) h", "text").collect()}
+    assert sorted((str(r.doc_id), by_hash[r.text_hash] or "", str(r.class_id), r.n_links, r.n_class) for r in got) == brute(rows)
+    assert sum(sent) < 0.75 * sum(leaf_rows)

@@ -6,7 +6,8 @@
    A pair of similarity 0.8 stays together in a leaf of one run with probability 0.94, so ``RUNS`` runs find 999 of 1,000 such pairs.
 3. Leaves are compared by brute force on whole shingle sets. As only classes are sought, a leaf gives the edges of a spanning
    forest, never all pairs, and leaves whose nodes are in one class already are skipped. Leaves with more than fits into a task
-   are compared in chunks, then the chunks' classes by a few of their members, then all nodes outside the largest class with every chunk.
+   are compared in chunks, then the chunks' classes by a few of their members, then all nodes outside the largest class with every chunk;
+   those that are mostly one class already begin with the last of these steps, which meets every pair of different classes.
 4. Links are counted within classes, each pair once, in blocks that give one count per node. So pairs that no leaf held are
    found as well, if their class is connected.
 
@@ -175,7 +176,8 @@ def _promising(rows: pa.Table) -> dict | None:
         return None
     k = -(-int(sizes[good].sum()) // CHUNK_SHINGLES)
     return {
-        "run": rows.column("run").to_numpy()[good], "leaf": rows.column("leaf").to_numpy()[good], "node": nodes[good], "k": np.full(int(good.sum()), k)
+        "run": rows.column("run").to_numpy()[good], "leaf": rows.column("leaf").to_numpy()[good], "node": nodes[good], "n": sizes[good],
+        "k": np.full(int(good.sum()), k),
     }
 
 
@@ -236,22 +238,24 @@ def _leaves(nodes: DataFrame) -> DataFrame:
             F.pmod(first + 1 + F.pmod(F.xxhash64("path", F.lit(j)), F.lit(POSITIONS - 1)), F.lit(POSITIONS)) for j in range(1, FANOUT)
         ]
         chosen = F.explode(F.array(*[F.xxhash64("path", s, F.get("mark", s.cast("int"))) for s in steps])).alias("path")
-        rows = store(open_.select("node", "run", chosen), "paths")
+        open_ = open_.select("node", "mark", "run", chosen)
+        rows = store(open_.select("node", "run", "path"), "paths")
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         kept = store(rows.join(sizes, "path"), "buckets")
         ends = kept.where((F.col("size") <= SMALL) | F.lit(level == DEPTH))
         found = ends.select("run", F.col("path").alias("leaf"), "node", "size")
         leaves = found if leaves is None else leaves.unionByName(found)
         if level < DEPTH:
-            large = kept.where(F.col("size") > SMALL)
+            large = store(kept.where(F.col("size") > SMALL).select("path").distinct(), "large")
             if not large.take(1):
                 break
-            open_ = large.select("node", "run", "path").join(nodes.select("node", "mark"), "node")
+            # Paths are made again from the marks: the few that stay open travel, not the nodes.
+            open_ = open_.join(large, "path", "left_semi")
     return leaves
 
 
-def _join_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """node, label with the labels that edges join made one, the least: hook to the least neighbour, then jump."""
+def _new_names(edges: DataFrame) -> DataFrame:
+    """label, to: for all labels of edges the least that they are joined with: hook to the least neighbour, then jump."""
     both = store(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     names = both.select("a").distinct().withColumn("to", F.col("a"))
     while True:
@@ -263,29 +267,37 @@ def _join_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
         after = store(after, "labels")
         names = after.select("a", "to")
         if not after.where("moved").take(1):
-            break
-    return store(
-        labels.join(names.withColumnRenamed("a", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels"
-    )
+            return names.withColumnRenamed("a", "label")
+
+
+def _renamed(rows: DataFrame, names: DataFrame) -> DataFrame:
+    kept = [c for c in rows.columns if c != "label"]
+    return store(rows.join(names, "label", "left").select(*kept, F.coalesce("to", "label").alias("label")), "labels")
+
+
+def _join_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """node, label with the labels that edges join made one, the least."""
+    return _renamed(labels, _new_names(edges))
 
 
 def _n_chunks(m: str, total: str):
     return F.greatest(F.ceil(F.col(total) / CHUNK_SHINGLES), F.ceil(F.col(m) / CHUNK_NODES)).cast("int")
 
 
-def _chunk():
-    return F.pmod(F.xxhash64("node", F.lit(5)), F.col("k")).cast("int")
+def _chunk(k: str):
+    return F.pmod(F.xxhash64("node", F.lit(5)), F.col(k)).cast("int")
 
 
 def _compared(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """run, leaf, node, k: what is compared, and in how many chunks. Leaves too large for a task are taken whole, unseen."""
+    """run, leaf, node, n, k: what is compared, and in how many chunks. Leaves too large for a task are taken whole, unseen."""
     rows = leaves.join(nodes.select("node", "n", "mark"), "node")
     small = by_key(
-        rows.where(F.col("size") <= CHUNK_NODES).select("run", "leaf", "node", "n", "mark"), "leaf", _promising, "run int, leaf long, node long, k int"
+        rows.where(F.col("size") <= CHUNK_NODES).select("run", "leaf", "node", "n", "mark"), "leaf", _promising,
+        "run int, leaf long, node long, n int, k int",
     )
     large = rows.where(F.col("size") > CHUNK_NODES)
     sums = large.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
-    return small.unionByName(large.select("run", "leaf", "node").join(sums.select("leaf", _n_chunks("m", "total").alias("k")), "leaf"))
+    return small.unionByName(large.select("run", "leaf", "node", "n").join(sums.select("leaf", _n_chunks("m", "total").alias("k")), "leaf"))
 
 
 def _edges(rows: DataFrame, sets: DataFrame, key) -> DataFrame:
@@ -294,45 +306,59 @@ def _edges(rows: DataFrame, sets: DataFrame, key) -> DataFrame:
     )
 
 
-def _classes(leaves: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """node, label after all runs."""
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of leaves with several classes, with the largest of them, main, and whether most nodes are in it."""
+    parts = rows.groupBy("leaf", "label").agg(F.count(F.lit(1)).alias("c"))
+    leaves = parts.groupBy("leaf").agg(
+        F.max_by("label", F.struct("c", "label")).alias("main"), (2 * F.max("c") > F.sum("c")).alias("mostly"), F.count(F.lit(1)).alias("classes")
+    )
+    return rows.join(leaves.where("classes > 1").drop("classes"), "leaf")
 
-    def merged(edges: DataFrame) -> DataFrame:
-        return _join_labels(labels, edges) if edges.take(1) else labels
 
-    for run in range(RUNS):
-        def now() -> DataFrame:
-            rows = leaves.where(F.col("run") == run).join(labels, "node").withColumn("chunk", _chunk())
-            mixed = rows.groupBy("leaf").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("leaf")
-            return rows.join(mixed, "leaf", "left_semi")
+def _outside(wide: DataFrame) -> DataFrame:
+    """leaf, chunk, other, node, label: each pair of (part of the nodes outside the largest class, chunk of the leaf) is one task."""
+    rest = wide.where("label <> main")
+    sums = rest.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).select("leaf", _n_chunks("m", "total").alias("parts"))
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    right = wide.withColumn("chunk", _chunk("k")).join(sums, "leaf").select("leaf", "chunk", others, "node", "label")
+    chunks = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("chunk")
+    left = rest.withColumn("own", _chunk("k")).join(sums, "leaf").select("leaf", "own", chunks, _chunk("parts").alias("other"), "node", "label")
+    return right.unionByName(left.where("chunk <> own").drop("own"))
 
-        labels = merged(_edges(now(), sets, F.xxhash64("leaf", "chunk")))
-        if not leaves.where((F.col("run") == run) & (F.col("k") > 1)).take(1):
+
+def _classes(leaves: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, label after all runs."""
+    labels = store(leaves.select("node").distinct().withColumn("label", F.col("node")), "labels")
+    for run in range(RUNS):
+        part = leaves.where(F.col("run") == run).select("leaf", "node", "n", "k")
+        rows = store(part.join(labels, "node") if run else part.withColumn("label", F.col("node")), "leaf-rows")
+
+        def merge(edges: DataFrame) -> None:
+            nonlocal labels, rows
+            if edges.take(1):
+                names = _new_names(edges)
+                labels, rows = _renamed(labels, names), _renamed(rows, names)
+
+        now = _mixed(rows).where("k = 1 OR NOT mostly").withColumn("chunk", _chunk("k"))
+        merge(_edges(now, sets, F.xxhash64("leaf", "chunk")))
+        if not rows.where("k > 1").take(1):
             continue
         # Leaves of several chunks: first some members of each class, then all outside the largest class with every chunk.
-        wide = store(now().where("k > 1"), "wide")
-        few = wide.groupBy("leaf", "label").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.min_by("node", F.xxhash64("node")).alias("z"))
-        some = few.select("leaf", "label", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("node"))
+        few = _mixed(rows).where("k > 1").groupBy("leaf", "label").agg(
+            F.min("node").alias("x"), F.max("node").alias("y"), F.min_by("node", F.xxhash64("node")).alias("z")
+        )
+        some = store(few.select("leaf", "label", F.explode(F.array_distinct(F.array("x", "y", "z"))).alias("node")), "some")
         fits = some.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") <= CHUNK_NODES).select("leaf")
-        labels = merged(_edges(some.join(fits, "leaf", "left_semi"), sets, F.col("leaf")))
-        wide = store(now().where("k > 1"), "wide")
-        largest = wide.groupBy("leaf", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("leaf").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-        wide = wide.join(largest, "leaf")
-        rest = wide.where("label <> main")
-        parts = rest.select("leaf", "chunk").distinct().withColumnRenamed("chunk", "other")
-        # Each pair of (chunk of the rest, chunk of the leaf) is one task.
-        right = wide.join(parts, "leaf").select("leaf", "chunk", "other", "node", "label")
-        all_chunks = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("chunk")
-        left = rest.select("leaf", all_chunks, F.col("chunk").alias("other"), "node", "label")
-        every = right.unionByName(left).dropDuplicates(["leaf", "chunk", "other", "node"])
-        labels = merged(_edges(every, sets, F.xxhash64("leaf", "chunk", "other")))
+        merge(_edges(some.join(fits, "leaf", "left_semi"), sets, F.col("leaf")))
+        wide = store(_mixed(rows).where("k > 1"), "wide")
+        merge(_edges(_outside(wide), sets, F.xxhash64("leaf", "chunk", "other")))
     return labels
 
 
 def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """node, links: similar documents of other nodes, each pair of nodes compared once, in blocks of a class."""
     sums = members.groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).where("m > 1")
-    cut = members.join(sums.select("label", _n_chunks("m", "total").alias("k")), "label").withColumn("chunk", _chunk())
+    cut = members.join(sums.select("label", _n_chunks("m", "total").alias("k")), "label").withColumn("chunk", _chunk("k"))
     # side: 0 within a chunk, else which of two chunks
     side = lambda o: F.when(F.col("chunk") == o, 0).when(F.col("chunk") < o, 1).otherwise(2)
     turns = F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda o: F.struct(
@@ -362,7 +388,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = candidates.join(nodes.select("node", "first"), "node").select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).distinct()
     picked = hashed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("text_hash").eqNullSafe(F.col("_hash")), "left_semi")
     sets = store(map_rows(picked.select("text"), ["text"], _name_sets, "node long, tokens array<long>").dropDuplicates(["node"]), "near-sets")
-    labels = _classes(leaves, sets, store(candidates.withColumn("label", F.col("node")), "labels"))
+    labels = _classes(leaves, sets)
 
     members = labels.join(nodes.select("node", "n", "n_docs"), "node")
     links = _links(members, sets)
