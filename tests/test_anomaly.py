@@ -2,7 +2,9 @@
 
 import math
 import random
+from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +118,32 @@ def test_snapshot_status(frame):
 def test_detect_keeps_all_columns(frame):
     df = frame(rows_of(["low"] * 4), SCHEMA).withColumn("extra", F.lit("x"))
     assert set(an.detect(df).columns) == {*df.columns, "z_score", "is_anomaly"}
+
+
+def test_events_are_replayed_once(frame, capsys):
+    at = datetime(2024, 1, 1)
+    rows = [(i, at + timedelta(seconds=i), f"s{i % 2}", "log", ("low", "high", "critical")[i % 3]) for i in range(60)]
+    schema = "event_id long, ts timestamp_ntz, service string, event_type string, severity string"
+    scored, states = an.detect_and_keep(frame(rows, schema))
+    assert scored.count() == 60 and states.count() == 2
+    scored.explain()
+    states.explain()
+    assert "MapIn" not in capsys.readouterr().out  # both are read from what one replay has stored
+
+
+@pytest.mark.parametrize("known", [None, (2.5, 0.7, 9), (80.0, 3.0, 4)])
+def test_end_of_a_stretch_tells_its_state(known):
+    rng = random.Random(4)
+    n = 3 * an.TAIL + 7
+    stretches = {
+        "mixed": [float(rng.randrange(1, 5)) for _ in range(n)], "constant": [2.0] * n, "alternating": [1.0, 4.0] * (n // 2),
+        "late": [1.0] * (n - 20) + [float(rng.randrange(1, 5)) for _ in range(20)], "broken": [float("nan")] + [1.0, 2.0, 4.0] * an.TAIL,
+        "short": [1.0, 3.0, 2.0],
+    }
+    for name, values in stretches.items():
+        whole = an._Stretch(3, name, an.ALPHA)
+        if known:
+            whole.push(0, None, known)
+        for v in values:
+            whole.push(1, v, None)
+        assert repr(an._summary_of(3, name, known, np.array(values), an.ALPHA)) == repr(whole.row())

@@ -9,7 +9,9 @@ algebraically. What can be done exactly:
 2. Summarise that stretch without knowing its start. Every rounded step is
    monotone, so running the lowest and the highest possible start state side by
    side brackets all starts. Mixed severities merge the two after a few hundred
-   events: from there the state is the same for every start, hence exact.
+   events: from there the state is the same for every start, hence exact. So
+   the last few thousand events of a stretch mostly tell its end; where they do
+   not, the whole stretch is read.
    Stretches that never merge are nearly constant and are kept as runs.
 3. Put the summaries in sequence (at most two per partition) to get each start
    state. Stretches that neither merge nor compress (say, strictly alternating
@@ -24,13 +26,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import severity_value
 from ..sources.literals import literal_table
-from ..session import shared_folder
+from ..session import scratch_path, shared_folder
 from .layout import PART, ordered_layout
 
 ALPHA = 0.3
@@ -38,6 +41,7 @@ THRESHOLD = 2.5
 MIN_POINTS = 3
 LOW, HIGH = 0.0, 5.0  # strictly outside the severity values, so they bracket every reachable mean
 MAX_RUNS = 128
+TAIL = 2048  # events at the end of a long stretch that mostly prove its state alone
 
 STATE_SCHEMA = "bucket string, mean double, variance double, count long"
 
@@ -95,8 +99,6 @@ _SUMMARY = (
     f"{PART} int, bucket string, rows long, merged boolean, opaque boolean, mean double, variance double, "
     "count long, run_value array<double>, run_length array<long>"
 )
-_NAMES = [f.split()[0] for f in _SUMMARY.split(", ")]
-_COLUMNS = ["bucket", "kind", "value", "s_mean", "s_variance", "s_count"]
 
 
 class _Stretch:
@@ -136,23 +138,82 @@ class _Stretch:
         return (self.part, self.bucket, self.rows, merged, self.opaque and not merged, *self.bracket.low, None, values, lengths)
 
 
+def _summary_of(part: int, bucket: str, known: tuple | None, values: np.ndarray, alpha: float) -> tuple:
+    """A stretch: its saved state, if it has one, and all values behind it."""
+    inside = known is None or (known[2] and LOW <= known[0] <= HIGH and 0.0 <= known[1] <= (HIGH - LOW) ** 2)
+    if len(values) > TAIL and inside and LOW <= values.min() and values.max() <= HIGH:
+        end = _Bracket(alpha)
+        for v in values[-TAIL:].tolist():
+            end.push(v)
+        if end.merged:
+            count = None if known is None else known[2] + len(values)
+            return (part, bucket, len(values), True, False, *end.low, count, [], [])
+    whole = _Stretch(part, bucket, alpha)
+    if known is not None:
+        whole.push(0, None, known)
+    for v in values.tolist():
+        whole.push(1, v, None)
+    return whole.row()
+
+
+def _segments(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """First and last place of each run of rows of one bucket and kind."""
+    n = batch.num_rows
+    new = np.zeros(n, bool)
+    new[0] = True
+    for name in ("bucket", "kind"):
+        at = batch.column(name).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        new[1:] |= at[1:] != at[:-1]
+    cuts = [*np.flatnonzero(new).tolist(), n]
+    yield from zip(cuts[:-1], cuts[1:], strict=True)
+
+
+def _floats(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(float)
+
+
+def _state_in(batch: pa.RecordBatch, names: tuple[str, str, str], at: int) -> tuple | None:
+    mean, variance, count = (batch.column(n)[at].as_py() for n in names)
+    return None if count is None else (mean, variance, int(count))
+
+
+_SAVED, _START_NAMES = ("s_mean", "s_variance", "s_count"), ("i_mean", "i_variance", "i_count")
+
+
 def _summarise(alpha: float):
     """The first and the last stretch of each partition: only they can share a bucket with a neighbour."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = cur = None
-        for pdf in batches:
-            for part, bucket, kind, value, sm, sv, sc in zip(pdf[PART], *(pdf[c] for c in _COLUMNS)):
-                if cur is None or cur.bucket != bucket:
-                    first = first or cur
-                    cur = _Stretch(part, bucket, alpha)
-                cur.push(kind, value, (sm, sv, int(sc)) if kind == 0 else None)
-        ends = [x.row() for x in (first, cur) if x is not None]
-        yield pd.DataFrame(ends, columns=_NAMES)
+    schema = _arrow(_SUMMARY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, cur = None, None  # cur: part, bucket, saved state, values behind it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for i, j in _segments(batch):
+                bucket = batch.column("bucket")[i].as_py()
+                if cur is None or cur[1] != bucket:
+                    if cur is not None and first is None:
+                        first = _summary_of(*cur[:3], np.concatenate([np.zeros(0), *cur[3]]), alpha)
+                    cur = [batch.column(PART)[i].as_py(), bucket, None, []]
+                if batch.column("kind")[i].as_py() == 0:  # a saved state: whatever came before is irrelevant
+                    cur[2:] = _state_in(batch, _SAVED, j - 1), []
+                else:
+                    cur[3].append(_floats(batch.column("value").slice(i, j - i)))
+        last = None if cur is None else _summary_of(*cur[:3], np.concatenate([np.zeros(0), *cur[3]]), alpha)
+        ends = [x for x in (first, last) if x is not None]
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*ends), schema)], schema=schema)
 
     return run
 
 
+def _arrow(schema: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    return to_arrow_schema(_parse_datatype_string(schema))
+
+
 def _sequence(stretches: list[dict], alpha: float, replayed: dict) -> tuple[list[tuple], list[tuple]]:
     """Proven start states of stretches that continue a bucket, and replays still needed for the rest.
 
@@ -189,36 +250,61 @@ def _sequence(stretches: list[dict], alpha: float, replayed: dict) -> tuple[list
 _START = f"{PART} int, bucket string, i_mean double, i_variance double, i_count long"
 
 
-def _replay(alpha: float, threshold: float, emit_states: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur = None
-        for pdf in batches:
-            scores, flags, ends = [], [], []
-            starts = zip(pdf["i_mean"], pdf["i_variance"], pdf["i_count"])
-            rows = zip(pdf[PART], *(pdf[c] for c in _COLUMNS))
-            for (part, bucket, kind, value, sm, sv, sc), start in zip(rows, starts):
-                if cur is None or cur[0] != (part, bucket):
+def _fold(values: list, state: tuple, alpha: float) -> tuple[list, tuple]:
+    """z of each value and the state behind the last; every step as in ``step``."""
+    mean, variance, count = state
+    rest, scores = 1 - alpha, []
+    for value in values:
+        diff = value - mean
+        if count >= MIN_POINTS:
+            scores.append(diff / (variance**0.5 if variance > 0 else 1.0))
+        else:
+            scores.append(0.0)
+        if count:
+            mean, variance = alpha * value + rest * mean, rest * (variance + alpha * diff * diff)
+        else:
+            mean, variance = value, 0.0
+        count += 1
+    return scores, (mean, variance, count)
+
+
+_ENDS = f"{PART} int, {STATE_SCHEMA}"
+
+
+def _replay(alpha: float, threshold: float, scored: pa.Schema | None, ends: pa.Schema | None):
+    """Scores, end states (kind 2) or both, each with nulls in the columns of the other."""
+    names = [f.name for f in scored or []] + [f.name for f in ends or []]
+
+    def told(found: dict, n: int) -> pa.RecordBatch:
+        fields = [*(scored or []), *(ends or [])]
+        return pa.RecordBatch.from_arrays([found.get(f.name, pa.nulls(n, f.type)) for f in fields], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cur, state, over = None, None, []
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            values, scores = _floats(batch.column("value")), np.zeros(n)
+            for i, j in _segments(batch):
+                place = (batch.column(PART)[i].as_py(), batch.column("bucket")[i].as_py())
+                if cur != place:
                     if cur is not None:
-                        ends.append((*cur[0], mean, variance, count))
-                    cur = ((part, bucket),)
-                    mean, variance, count = (start[0], start[1], int(start[2])) if start[2] == start[2] else (0.0, 0.0, 0)
-                if kind == 0:
-                    mean, variance, count = sm, sv, int(sc)
-                    scores.append(0.0)
-                    flags.append(False)
-                    continue
-                z = 0.0
-                if count >= MIN_POINTS:
-                    z = (value - mean) / (variance**0.5 if variance > 0 else 1.0)
-                scores.append(z)
-                flags.append(abs(z) > threshold)
-                mean, variance, count = step(mean, variance, count, value, alpha)
-            if emit_states:
-                yield pd.DataFrame(ends, columns=[PART, "bucket", "mean", "variance", "count"])
-            else:
-                yield pd.DataFrame({**{c: pdf[c] for c in pdf.columns if c.startswith("k_")}, "kind": pdf["kind"], "z_raw": scores, "is_anomaly": flags})
-        if emit_states and cur is not None:
-            yield pd.DataFrame([(*cur[0], mean, variance, count)], columns=[PART, "bucket", "mean", "variance", "count"])
+                        over.append((*cur, *state))
+                    cur, state = place, _state_in(batch, _START_NAMES, i) or (0.0, 0.0, 0)
+                if batch.column("kind")[i].as_py() == 0:
+                    state = _state_in(batch, _SAVED, j - 1)
+                else:
+                    scores[i:j], state = _fold(values[i:j].tolist(), state, alpha)
+            if scored is not None:
+                made = {"kind": batch.column("kind"), "z_raw": pa.array(scores), "is_anomaly": pa.array(np.abs(scores) > threshold)}
+                kept = {f.name: batch.column(f.name).cast(f.type) for f in scored if f.name not in made}
+                yield told({**kept, **made}, n)
+        if cur is not None:
+            over.append((*cur, *state))
+        if ends is not None and over:
+            found = {f.name: pa.array(c, f.type) for c, f in zip(zip(*over), ends)}
+            yield told(found | {"kind": pa.array([2] * len(over), pa.int32())}, len(over))
 
     return run
 
@@ -246,6 +332,7 @@ class EwmaRun:
             rows = rows.unionByName(saved)
         self.layout = ordered_layout(rows, ["bucket", "kind"], [f"k_{c}" for c in self.order], partitions, settled=settled)
         self._starts = self._resolve()
+        self._kept: DataFrame | None = None
 
     def _resolve(self) -> DataFrame:
         """Start states of the stretches that continue a bucket: at most one per partition."""
@@ -256,7 +343,7 @@ class EwmaRun:
         if not spans:
             return F.broadcast(literal_table(spark, [], _START))
         shared = F.broadcast(literal_table(spark, [tuple(r) for r in spans], "bucket string"))
-        found = self.layout.join(shared, "bucket", "left_semi").select(*self.layout.columns).mapInPandas(_summarise(self.alpha), _SUMMARY)
+        found = self.layout.join(shared, "bucket", "left_semi").select(*self.layout.columns).mapInArrow(_summarise(self.alpha), _SUMMARY)
         stretches = [r.asDict() for r in found.collect()]  # two rows per partition
         replayed: dict = {}
         while True:
@@ -279,32 +366,56 @@ class EwmaRun:
         if parts is not None:  # replays of some stretches: at most two buckets per listed partition
             asked = F.broadcast(starts.select(PART, "bucket"))
             rows = rows.filter(F.col(PART).isin(parts)).join(asked, [PART, "bucket"], "left_semi")
-        return rows.mapInPandas(_replay(self.alpha, self.threshold, True), f"{PART} int, {STATE_SCHEMA}")
+        return rows.mapInArrow(_replay(self.alpha, self.threshold, None, _arrow(_ENDS)), _ENDS)
 
-    def scores(self) -> DataFrame:
-        """Order columns with z (3 decimals) and flag; the flag uses the unrounded z."""
+    def _scored(self, ends: bool) -> DataFrame:
         kinds = dict(self.layout.dtypes)
         schema = ", ".join(f"k_{c} {kinds[f'k_{c}']}" for c in self.order) + ", kind int, z_raw double, is_anomaly boolean"
-        out = self._with_starts(self._starts).mapInPandas(_replay(self.alpha, self.threshold, False), schema)
+        whole = f"{schema}, {_ENDS}" if ends else schema
+        return self._with_starts(self._starts).mapInArrow(
+            _replay(self.alpha, self.threshold, _arrow(schema), _arrow(_ENDS) if ends else None), whole
+        )
+
+    def keep(self) -> None:
+        """Store scores and end states of one replay; both are read from there."""
+        path, found = scratch_path(self.layout.sparkSession, "replayed"), self._scored(True)
+        found.write.parquet(path)
+        self._kept = self.layout.sparkSession.read.schema(found.schema).parquet(path)
+
+    def scores(self) -> DataFrame:
+        """Order columns with z (3 decimals) and flag; the flag uses the unrounded z."""
+        out = self._scored(False) if self._kept is None else self._kept
         return out.filter("kind = 1").select(
             *[F.col(f"k_{c}").alias(c) for c in self.order], F.round("z_raw", 3).alias("z_score"), "is_anomaly"
         )
 
     def states(self) -> DataFrame:
         """Final state per bucket."""
-        ends = self._states(self._starts)
+        ends = self._states(self._starts) if self._kept is None else self._kept.filter("kind = 2")
         last = ends.groupBy("bucket").agg(F.max_by(F.struct("mean", "variance", "count"), PART).alias("s"))
         return last.select("bucket", "s.*")
 
 
+def _run(events: DataFrame, states: DataFrame | None, options: dict) -> tuple[DataFrame, EwmaRun, list[str]]:
+    """The events, stored, and their run: later steps read only the columns that they need."""
+    spark = events.sparkSession
+    shared_folder(spark)
+    path = scratch_path(spark, "described")
+    events.write.parquet(path)
+    events = spark.read.schema(events.schema).parquet(path)
+    order = list(options.get("order", ("ts", "event_id")))
+    return events, EwmaRun(events.dropna(subset=order), states=states, settled=True, **options), order
+
+
+def _with_scores(events: DataFrame, run: EwmaRun, order: list[str]) -> DataFrame:
+    return events.join(run.scores(), order, "left").withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
+
+
 def detect_and_keep(events: DataFrame, states: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame]:
     """``detect``, and the states of all buckets after these events."""
-    shared_folder(events.sparkSession)
-    events = events.checkpoint(eager=True)
-    order = list(options.get("order", ("ts", "event_id")))
-    run = EwmaRun(events.dropna(subset=order), states=states, settled=True, **options)
-    scored = events.join(run.scores(), order, "left")
-    return scored.withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False))), run.states()
+    events, run, order = _run(events, states, options)
+    run.keep()
+    return _with_scores(events, run, order), run.states()
 
 
 def detect(events: DataFrame, states: DataFrame | None = None, **options) -> DataFrame:
@@ -315,7 +426,7 @@ def detect(events: DataFrame, states: DataFrame | None = None, **options) -> Dat
     that classified them is asked once. Events without a time or id have no place in the
     order: they are kept, with a null score and no anomaly.
     """
-    return detect_and_keep(events, states, **options)[0]
+    return _with_scores(*_run(events, states, options))
 
 
 def snapshot(states: DataFrame) -> DataFrame:
