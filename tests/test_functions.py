@@ -81,3 +81,10 @@ def test_zero_vector_stays(frame):
     df = frame([([0.0, 0.0],), ([3.0, 4.0],)], "v array<double>")
     assert values(df, vx.normalized(F.col("v"))) == [[0.0, 0.0], [0.6, 0.8]]
     assert values(df, vx.norm(F.col("v"))) == [0.0, 5.0]
+
+
+def test_strip_takes_what_the_pattern_takes(frame):
+    texts = ["", " ", "a", " a b\t\n", "\x0b\x0c\ra", "a \u0085", " a  ", "a  ", " a ", "a \r\n", None, "\u0085 a", "á \n "]
+    df = frame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", tx.strip_whitespace(F.col("t")).alias("a"), F.regexp_replace("t", r"^\s+|\s+$", "").alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]

@@ -332,3 +332,43 @@ def test_report_of_missing_class(frame):
     got = {r.label: r for r in cg.classification_report(frame([(0, 0), (0, 0), (1, 0)], "t int, p int"), "t", "p", [0, 1]).collect()}
     assert (got["1"].precision, got["1"].recall, got["1"].support) == (0.0, 0.0, 1)
     assert got["0"].precision == 0.667 and got["accuracy"].f1 == 0.667
+
+
+TX_SCHEMA = ("tx_id long, perfil_simulado string, merchant string, descricao string, canal string, cartao_presente string, risco_device string, "
+             "pais string, cidade string, hora int, valor double, fraude int")
+
+
+def test_vectors_of_the_fraud_job_are_stored_as_bytes(spark, frame, tmp_path):
+    from tidewright.functions.vectors import hash_embedding
+    from tidewright.operators.knn_blocks import columns
+    from tidewright.plans import fraud
+
+    rows = [(i, "Ágio", f"M{i % 5}", None if i == 17 else f"Item {i % 11} ΑΣ", "pos", "sim", "baixo\t \u0085" if i == 3 else "Baixo \n", "X", "Y", i % 24, 10.0 * i, int(i % 7 == 0)) for i in range(90)]
+    done = fraud.run(frame(rows, TX_SCHEMA), str(tmp_path / "job"), clusters=3)
+    stored = spark.read.parquet(str(tmp_path / "job" / "embedded"))
+    assert dict(stored.dtypes)["embedding"] == "binary" and stored.agg(F.max(F.length("embedding"))).first()[0] == 64
+    both = done.placed.join(done.scored.select("tx_id", hash_embedding(F.col("narrativa")).alias("whole")), "tx_id").where("tx_id <> 17").toArrow()
+    assert columns(both["embedding"], 64).T.tolist() == both["whole"].to_pylist()  # to the last bit
+    told = fraud.check(done).first()
+    assert (told.transactions, told.unexplained, told.misplaced, told.clusters) == (90, 0, 0, 3)
+    assert done.scored.where("percentil_distancia IS NULL").select("tx_id").collect() == [(17,)]
+
+
+def test_placed_rows_are_measured_as_the_jvm_does(spark, frame):
+    rows = [(i, [float(i % 7), i / 3.0, -0.1 * i]) for i in range(50)] + [(50, None)]
+    centres = frame([(4, [1.0, 2.0, 3.0]), (2, [0.3, 9.0, 0.1])], "cluster int, centre array<double>")
+    df = frame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in cg.centre_distance(cg.place(df, centres, measured=True), centres).collect()}
+    want = {r.vec_id: r for r in cg.centre_distance(cg.place(df, centres), centres).collect()}
+    assert len(got) == 51 and all((got[i].cluster, got[i].distancia_centroide) == (want[i].cluster, want[i].distancia_centroide) for i in got)
+
+
+def test_fit_of_bytes_finds_groups_and_is_a_fit(spark, frame):
+    groups = [bytes([40 * g] * 32 + [255 - 40 * g] * 32) for g in range(4)]
+    rows = [(i, None if i % 50 == 49 else groups[i % 4][:-1] + bytes([i % 9])) for i in range(400)]
+    df = frame(rows, "vec_id long, embedding binary").repartition(5)
+    out, centres = cg.kmeans(df, k=4)
+    told = cg.kmeans_certificate(out, centres).first()
+    assert (told.rows, told.misplaced, told.clusters, told.empty) == (400, 0, 4, 0) and told.drift < 1e-6
+    met = {(r.vec_id % 4, r.cluster) for r in out.where("embedding IS NOT NULL").collect()}
+    assert len(met) == 4 and "embedding" in out.columns

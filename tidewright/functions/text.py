@@ -50,8 +50,12 @@ def parse_mixed_timestamp(col: Column, layouts: Sequence[str] = TIMESTAMP_LAYOUT
 
 
 def strip_whitespace(col: Column) -> Column:
-    """Remove all white space at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    """Remove all white space at both ends (``trim`` removes blanks only).
+
+    A pattern is tried at every place of a text, so only texts that end in one of the line ends that are no white space to it, but an end, need one.
+    """
+    plain = F.btrim(col, F.lit(" \t\n\x0b\f\r"))
+    return F.when(col.endswith("\u0085") | col.endswith("\u2028") | col.endswith("\u2029"), F.regexp_replace(col, r"^\s+|\s+$", "")).otherwise(plain)
 
 
 def first_keyword(text: Column, rules: Sequence[tuple[str, str]], default: str, lowered: bool = False) -> Column:
@@ -147,7 +151,12 @@ NARRATIVE = (
 )
 
 
-def narrative() -> Column:
-    """Card transaction as a sentence; the value keeps its shortest decimal form."""
+def narrative(lowered: bool = False) -> Column:
+    """Card transaction as a sentence; the value keeps its shortest decimal form.
+
+    ``lowered`` gives it in lower case, column by column: most columns are plain ASCII, which is a quarter of the work. No letter's form depends on
+    another column, as the words between them start with a mark or a blank and end in a blank.
+    """
     shown = {"valor": F.round("valor", 2).cast("string"), "hora": F.lpad(F.col("hora").cast("string"), 2, "0")}
-    return F.concat(*[x for words, column in NARRATIVE for x in (F.lit(words), shown.get(column, F.col(column)))])
+    told = [(words, shown.get(column, F.col(column))) for words, column in NARRATIVE]
+    return F.concat(*[x for words, part in told for x in ((F.lit(words.lower()), F.lower(part)) if lowered else (F.lit(words), part))])

@@ -47,9 +47,20 @@ def l2_distance(a: Column, b: Column) -> Column:
     return F.sqrt(total(F.zip_with(as_double(a), as_double(b), lambda x, y: (x - y) * (x - y))))
 
 
+def _digests(clean_text: Column, dim: int) -> Column:
+    return reduce(F.concat, [F.sha2(F.concat(clean_text, F.lit(f"::{i}")), 256) for i in range(-(-dim // 32))])
+
+
+def hash_bytes(clean_text: Column, dim: int = 64) -> Column:
+    """The numbers of ``hash_embedding`` before they are scaled, a byte each: an eighth of the vector's room. ``knn_blocks.columns`` makes the same vectors of them.
+
+    The text is lower-case and stripped, and best a column: it is read once per digest.
+    """
+    return F.unhex(F.substring(_digests(clean_text, dim), 1, 2 * dim))
+
+
 def hash_embedding(text: Column, dim: int = 64) -> Column:
     """Deterministic unit vector from SHA-256 bytes of the cleaned text, 32 numbers per digest."""
-    rounds = -(-dim // 32)
     places = F.sequence(F.lit(0), F.lit(dim - 1))
 
     def numbers(hexed: Column) -> Column:
@@ -57,10 +68,7 @@ def hash_embedding(text: Column, dim: int = 64) -> Column:
             places, lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("double") / F.lit(255.0) * 2 - 1
         )
 
-    def digest(clean_text: Column) -> Column:
-        return reduce(F.concat, [F.sha2(F.concat(clean_text, F.lit(f"::{i}")), 256) for i in range(rounds)])
-
-    return let(strip_whitespace(F.lower(text)), lambda c: normalized(let(digest(c), numbers)))
+    return let(strip_whitespace(F.lower(text)), lambda c: normalized(let(_digests(c, dim), numbers)))
 
 
 def mean_columns(vec: str, dim: int) -> Column:

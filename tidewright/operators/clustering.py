@@ -6,17 +6,20 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BinaryType
 
-from ..functions.vectors import l2_distance, mean_columns
+from ..functions.vectors import l2_distance
 from ..sources.literals import literal_table
 from .knn import mean_overlap, top_k
-from .knn_blocks import TIE_DIGITS, matrix, score_block
+from .kmeans_blocks import fit
+from .knn_blocks import TIE_DIGITS, columns, matrix, score_block, squares
 from .layout import percentile_rank
 from .sizes import broadcast_if_small
 
@@ -24,10 +27,19 @@ from .sizes import broadcast_if_small
 CLUSTERS, SEED = 7, 42
 SUSPICIOUS_RATE, OUTLIER_PERCENTILE = 0.6, 0.98
 MAX_CENTRES = 10_000  # centres a task holds; with vectors of a thousand numbers 80 MB
+MEASURED = "_distance"  # column of distances that ``place`` leaves to ``centre_distance``
+BLOCK_ROWS = 4096  # vectors a task looks at at once
 
 
 def kmeans(df: DataFrame, vec: str = "embedding", k: int = CLUSTERS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Rows with their cluster, and the centres (cluster, centre)."""
+    """Rows with their cluster, and the centres (cluster, centre).
+
+    Spark's own fit holds a copy of all vectors, in memory or on disk. Vectors that are bytes (``hash_bytes``) are fitted by passes over a table instead, of
+    which sums alone leave a task; rows without a vector take no part in that, and lie in the first cluster.
+    """
+    if packed(df, vec):
+        table = literal_table(df.sparkSession, [(i, c.tolist()) for i, c in enumerate(fit(df.select(vec), k, seed))], "cluster int, centre array<double>")
+        return place(df, table, vec, measured=True), table
     rows = df.withColumn("_v", array_to_vector(F.col(vec).cast("array<double>")))
     model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="cluster").fit(rows)
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]  # k rows
@@ -42,31 +54,59 @@ def assign_nearest(df: DataFrame, centres: DataFrame, key: str, vec: str = "embe
     return found.select(F.col("query_id").alias(key), F.col("item_id").alias("cluster"))
 
 
-def place(df: DataFrame, centres: DataFrame, vec: str = "embedding", name: str = "cluster") -> DataFrame:
+def place(df: DataFrame, centres: DataFrame, vec: str = "embedding", name: str = "cluster", measured: bool = False) -> DataFrame:
     """``df`` with the nearest given centre of every row as a column; lower cluster wins ties. Rows need no key, and no join takes place.
 
-    The centres are few and are held by every task; their size is checked.
+    The centres are few and are held by every task; their size is checked. Vectors alone leave the JVM, and may be bytes (``hash_bytes``). ``measured``
+    rows get the distance from that centre in the same pass, in a column for ``centre_distance``.
     """
-    held = centres.select("cluster", F.col("centre").cast("array<double>").alias("centre")).orderBy("cluster").limit(MAX_CENTRES + 1).toArrow()
-    if held.num_rows > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres; look them up by assign_nearest")
-    shared = df.sparkSession.sparkContext.broadcast((held["cluster"].to_numpy(), matrix(held["centre"])))
-    at, step = df.columns.index(vec), max(1, (1 << 22) // max(1, held.num_rows))
+    shared = held(centres)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def near(vectors: pa.Array) -> pa.Array:
         clusters, m = shared.value
-        for b in batches:
-            if not b.num_rows:
-                continue
-            points = matrix(b.column(at))
-            near = [np.round(-score_block(points[i : i + step], m, "l2"), TIE_DIGITS).argmin(axis=1) for i in range(0, len(points), step)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(clusters[np.concatenate(near)], pa.int32())], names=[*b.schema.names, name])
+        own, far = np.empty(len(vectors), int), np.empty(len(vectors))
+        done = 0
+        for x in _blocks(vectors, m):
+            at = _nearest(x, m)
+            own[done : done + len(at)], far[done : done + len(at)] = clusters[at], _distances(x, m, at) if measured else 0.0
+            done += len(at)
+        return pa.StructArray.from_arrays([pa.array(own, pa.int32()), pa.array(far, from_pandas=True)], names=["own", "far"])
+
+    found = df.withColumn("_near", F.arrow_udf(near, "own int, far double")(vec)).withColumn(name, F.col("_near.own"))
+    return (found.withColumn(MEASURED, F.col("_near.far")) if measured else found).drop("_near")
+
+
+def packed(df: DataFrame, vec: str) -> bool:
+    return isinstance(df.schema[vec].dataType, BinaryType)
+
+
+def held(centres: DataFrame) -> Broadcast:
+    """Clusters in their order and the matrix of their centres, for tasks."""
+    table = centres.select("cluster", F.col("centre").cast("array<double>").alias("centre")).orderBy("cluster").limit(MAX_CENTRES + 1).toArrow()
+    if table.num_rows > MAX_CENTRES:
+        raise ValueError(f"more than {MAX_CENTRES} centres; look them up by assign_nearest")
+    return centres.sparkSession.sparkContext.broadcast((table["cluster"].to_numpy(), matrix(table["centre"])))
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, IntegerType())]))
+
+def _blocks(vectors: pa.Array, m: np.ndarray) -> Iterator[np.ndarray]:
+    """Vectors side by side, as many as make a small block and small scores with the centres."""
+    step = max(1, min(BLOCK_ROWS, (1 << 22) // max(1, len(m))))
+    return (columns(vectors[i : i + step], m.shape[1]) for i in range(0, len(vectors), step))
+
+
+def _nearest(x: np.ndarray, m: np.ndarray) -> np.ndarray:
+    return np.round(-score_block(x.T, m, "l2"), TIE_DIGITS).argmin(axis=1)
+
+
+def _distances(x: np.ndarray, m: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Distances of vectors (columns) from the centres of the given numbers, to the last bit as the JVM finds them."""
+    return np.sqrt(squares(x - m.T[:, at]))
 
 
 def centre_distance(df: DataFrame, centres: DataFrame, vec: str = "embedding") -> DataFrame:
-    """Distance of each row to the centre of its cluster."""
+    """Distance of each row to the centre of its cluster; ``place`` may have measured it, as it must where vectors are bytes."""
+    if MEASURED in df.columns:
+        return df.withColumnRenamed(MEASURED, "distancia_centroide")
     near = df.join(broadcast_if_small(centres), "cluster")
     return near.withColumn("distancia_centroide", l2_distance(F.col(vec), F.col("centre"))).drop("centre")
 
@@ -224,18 +264,31 @@ def kmeans_certificate(rows: DataFrame, centres: DataFrame, vec: str = "embeddin
     ``misplaced`` counts rows nearer (by more than the tolerance) to another centre than to their own, ``empty`` centres without rows, and ``drift`` is the largest
     distance of a centre from the mean of its rows.
     """
-    near = place(rows.select(vec, "cluster"), centres, vec, "nearest").join(broadcast_if_small(centres), "cluster")
-    other = broadcast_if_small(centres.select(F.col("cluster").alias("nearest"), F.col("centre").alias("other")))
-    gap = l2_distance(F.col(vec), F.col("centre")) - l2_distance(F.col(vec), F.col("other"))
-    judged = near.join(other, "nearest").agg(F.count(F.lit(1)).alias("rows"), F.count_if(gap > tolerance).alias("misplaced"))
-    dim = centres.select(F.max(F.size("centre"))).first()[0] or 0
-    means = rows.groupBy("cluster").agg(mean_columns(vec, dim).alias("mean"))
-    moved = centres.join(means, "cluster", "left").agg(
-        F.count(F.lit(1)).alias("clusters"), F.count_if(F.col("mean").isNull()).alias("empty"), F.max(l2_distance(F.col("centre"), F.col("mean"))).alias("drift")
-    )
-    told = {**judged.first().asDict(), **moved.first().asDict()}
-    schema = "rows long, misplaced long, clusters long, empty long, drift double"
-    return literal_table(rows.sparkSession, [tuple(told[c.split()[0]] for c in schema.split(", "))], schema)
+    shared = held(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clusters, m = shared.value
+        seen, misplaced, sums, counts = 0, 0, np.zeros(m.shape), np.zeros(len(m))
+        for b in batches:
+            b = b.filter(pc.is_in(b.column(1), pa.array(clusters, b.column(1).type)))
+            own, seen = np.searchsorted(clusters, np.asarray(b.column(1))), seen + b.num_rows
+            for x in _blocks(b.column(0), m):
+                at, own = own[: x.shape[1]], own[x.shape[1] :]
+                gap = _distances(x, m, at) - _distances(x, m, _nearest(x, m))
+                misplaced += int((gap > tolerance).sum())
+                known = ~np.isnan(x).any(axis=0)
+                member = (at[known] == np.arange(len(m))[:, None]).astype(float)
+                sums, counts = sums + member @ x[:, known].T, counts + member.sum(axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([misplaced]), pa.array([sums.tobytes()]), pa.array([counts.tobytes()])], names=["n", "misplaced", "sums", "counts"])
+
+    parts = rows.select(vec, "cluster").mapInArrow(run, "n long, misplaced long, sums binary, counts binary").collect()  # sums per cluster of each task
+    clusters, m = shared.value
+    counts = sum((np.frombuffer(p["counts"]) for p in parts), np.zeros(len(m)))
+    sums = sum((np.frombuffer(p["sums"]).reshape(m.shape) for p in parts), np.zeros(m.shape))
+    full = counts > 0
+    drift = float(np.sqrt(((m[full] - sums[full] / counts[full][:, None]) ** 2).sum(axis=1)).max()) if full.any() else None
+    row = (sum(p["n"] for p in parts), sum(p["misplaced"] for p in parts), len(m), int((~full).sum()), drift)
+    return literal_table(rows.sparkSession, [row], "rows long, misplaced long, clusters long, empty long, drift double")
 
 
 def compression_report(df: DataFrame, key: str, dims: Sequence[int] = (2, 4, 8, 12), k: int = 3, vec: str = "embedding") -> DataFrame:

@@ -8,8 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import preview
-from ..functions.vectors import hash_embedding
+from ..functions.text import preview, strip_whitespace
+from ..functions.vectors import hash_bytes, hash_embedding
 from ..operators import chunking
 from ..operators.knn import top_k, upsert
 from ..operators.metric_index import settled
@@ -20,8 +20,11 @@ SEARCH_K, RERANK_FETCH, RERANK_KEEP, CONTEXT_K, CONTEXT_CHARS = 4, 6, 3, 3, 500
 NOTHING_FOUND = "Nenhum documento relevante encontrado."
 
 
-def embed_text(df: DataFrame, text: str, dim: int = 64) -> DataFrame:
-    """Offline embedding, JVM only."""
+def embed_text(df: DataFrame, text: str, dim: int = 64, packed: bool = False, lowered: bool = False) -> DataFrame:
+    """Offline embedding, JVM only; ``packed`` vectors are the bytes they are made of, for operators that look at blocks of vectors (``lowered``: of a text in lower case)."""
+    if packed:
+        cleaned = df.withColumn("_clean", strip_whitespace(F.col(text) if lowered else F.lower(text)))
+        return cleaned.withColumn("embedding", hash_bytes(F.col("_clean"), dim)).drop("_clean")
     return df.withColumn("embedding", hash_embedding(F.col(text), dim))
 
 
