@@ -248,3 +248,32 @@ def test_stored_chunks_are_not_written_again(spark, frame, tmp_path, monkeypatch
     queries = frame([("q", [1.0, 0.1])], "query_id string, embedding array<double>")
     got = [rt.search_chunks(queries, spark.read.parquet(str(tmp_path / "chunks")), "fixed", 3, stored=s).orderBy("rank").collect() for s in (True, False)]
     assert got[0] == got[1] and len(got[0]) == 3 and names == ["queries", "items"]
+
+
+def test_rank_takes_no_larger_task_for_a_hot_value(frame):
+    import random
+
+    import pandas as pd
+
+    from tidewright.operators import layout
+
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", "c", None]), None if i % 97 == 0 else 3.0 if rng.random() < 0.6 else rng.random() * 6) for i in range(6000)]
+    df = frame(rows, "id long, g string, v double")
+    got = {r.id: r.p for r in percentile_rank(df, "g", "v", "p", partitions=12).collect()}
+    pdf = pd.DataFrame(rows, columns=["id", "g", "v"])
+    pdf["p"] = pdf.groupby("g")["v"].rank(pct=True)
+    assert len(got) == 6000 and all(got[i] is None if pd.isna(p) else abs(got[i] - p) < 1e-12 for i, p in zip(pdf["id"], pdf["p"]))
+    whole = df.filter("g IS NOT NULL AND v IS NOT NULL").select("g", "v")
+    moved = layout.ranked_rows(df, "g", "v", layout._bounds(whole, whole.count(), 12), 12)
+    sizes = [r["count"] for r in moved.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 1000  # the hot value alone has 3,600 rows
+
+
+def test_first_values_are_distinct_and_start_with_null(frame):
+    from tidewright.operators.layout import first_values
+
+    rows = [(t,) for t in ["b", "a", None, "ç", "a", "c", "b", "z"] * 30]
+    df = frame(rows, "t string").repartition(6)
+    assert [r.t for r in first_values(df, "t", 4).orderBy("t").collect()] == [None, "a", "b", "c"]
+    assert [r.t for r in first_values(df.where("t > 'b'"), "t", 9).orderBy("t").collect()] == ["c", "z", "ç"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as vx
 from ..functions.text import narrative
 from ..operators import clustering as cg
+from ..operators.layout import first_values
 from ..operators.sizes import broadcast_if_small
 from ..plans import fraud
 from ..session import scratch_path
@@ -145,7 +146,7 @@ def card_transactions(t: Tables):
 def fraud_run(t: Tables):
     """With the first sentences as centres, so that SQL can follow; the share of frauds that makes a cluster suspicious fits the made-up marks."""
     tx = card_transactions(t)
-    first = tx.select(narrative().alias("narrativa")).distinct().orderBy("narrativa").limit(7)
+    first = first_values(tx.select(narrative().alias("narrativa")), "narrativa", 7)
     seeds = first.select((F.row_number().over(Window.orderBy("narrativa")) - 1).alias("cluster"), vx.hash_embedding(F.col("narrativa")).alias("centre"))
     return fraud.run(tx, scratch_path(t.spark, "fraud"), centres=seeds, rate=0.2)
 
